@@ -192,7 +192,7 @@ REQUIRED, CHECKED = ["master_metadata_track_name", "master_metadata_album_artist
 BAD = (
     "list_filter([CASE WHEN trim(coalesce(master_metadata_track_name, '')) = '' THEN 'missing master_metadata_track_name' END, "
     "CASE WHEN trim(coalesce(master_metadata_album_artist_name, '')) = '' THEN 'missing master_metadata_album_artist_name' END, "
-    "CASE WHEN ms_played < 0 THEN 'negative ms_played' END, CASE WHEN ms_played - 5000 < 0 THEN 'negative shifted' END], x -> x IS NOT NULL)"
+    "CASE WHEN ms_played < 0 THEN 'negative ms_played' END, CASE WHEN ms_played - 5000 < 0 THEN 'negative shifted' END], lambda x: x IS NOT NULL)"
 )
 add(
     "validate_rows",
