@@ -209,19 +209,21 @@ def time_lookback(
     windows_us: dict[str, int],
     last_flag: str,
     flags_before: str,
+    extra_keys: Sequence[str] = (),
 ) -> OrderedRows:
     """Time-based look-back over flagged rows, exact under tied times.
 
     Adds ``last_flag`` = latest ``time_us`` of a flagged row strictly before this row's time, and per
     entry of ``windows_us`` the flagged rows in (t - W, t] that precede this row in order. The latter is
     a difference of two running counts: ``flags_before`` (all flagged rows before this one, already a
-    column) minus the flagged rows with time <= t - W. ``rows.order`` must start with ``time_us``.
+    column) minus the flagged rows with time <= t - W. ``rows.order`` must start with ``time_us``;
+    ``extra_keys`` restrict the look-back further, e.g. to a session.
     """
     t = F.col(time_us)
     flagged = F.col(flag) == 1
 
     def cold_step(d: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*rows.keys).orderBy(time_us)
+        w = Window.partitionBy(*rows.keys, *extra_keys).orderBy(time_us)
         older = {n: w.rangeBetween(Window.unboundedPreceding, -us) for n, us in windows_us.items()}
         return d.withColumns(
             {last_flag: F.max(F.when(flagged, t)).over(w.rangeBetween(Window.unboundedPreceding, -1))}
@@ -232,12 +234,12 @@ def time_lookback(
         )
 
     hot = None if rows.hot is None else _time_lookback_hot(
-        rows, time_us, row_id, flag, windows_us, last_flag, flags_before
+        rows, time_us, row_id, flag, windows_us, last_flag, flags_before, extra_keys
     )
     return rows._with(cold_step(rows.cold), hot)
 
 
-def _time_lookback_hot(rows, time_us, row_id, flag, windows_us, last_flag, flags_before) -> DataFrame:
+def _time_lookback_hot(rows, time_us, row_id, flag, windows_us, last_flag, flags_before, extra_keys) -> DataFrame:
     """Events and look-back probes in one ordering. A probe sorts before the events of its own time
     (strict) or after them (window edge), so plain running values answer both kinds."""
     base = rows.hot if rows._hot_is_stored else materialize(rows.hot, "chunks")
@@ -248,13 +250,14 @@ def _time_lookback_hot(rows, time_us, row_id, flag, windows_us, last_flag, flags
     t, none = F.col(time_us), F.lit(0)
     probes = [entry(t, 1, "", F.col(flag)), entry(t, 0, last_flag, none)]
     probes += [entry(t - us, 2, name, none) for name, us in windows_us.items()]
-    both = base.select(*rows.keys, row_id, F.inline(F.array(*probes)))
+    both = base.select(*rows.keys, *extra_keys, row_id, F.inline(F.array(*probes)))
     ordered = OrderedRows.by(both, rows.keys, ["x", "side", row_id, "probe"], rows.limit)
     answered = ordered.running(
         {
             "_hits": r_sum(F.col("hit")),
             "_last": r_max(F.when(F.col("hit") == 1, F.col("x"))),
-        }
+        },
+        extra_keys,
     ).rows().where("probe <> ''")
     wide = answered.groupBy(*rows.keys, row_id).agg(
         F.max(F.when(F.col("probe") == last_flag, F.col("_last"))).alias(last_flag),

@@ -71,9 +71,15 @@ VIEWS = {
   SELECT event_id, label, 'champion' AS model, champion AS score FROM scored
   UNION ALL SELECT event_id, label, 'high_recall' AS model, high_recall AS score FROM scored""",
     "recent_plays": """
-  SELECT user_id, event_id, time_stamp AS played_at, song_name || '::' || artist_name AS track_id,
-         song_name, artist_name, album_name, 120.0::DOUBLE + CAST(song_name AS INTEGER) * 40 AS duration_sec
+  SELECT user_id, event_id, make_timestamp(1704067200000000 + (epoch_us(time_stamp) - 1704067200000000) // 100) AS played_at,
+         song_name || '::' || artist_name AS track_id,
+         song_name, artist_name, album_name, 10.0::DOUBLE + CAST(song_name AS INTEGER) * 5 AS duration_sec
   FROM plays""",
+    "progress": f"""
+  SELECT user_id, event_id, make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 100) AS poll_ts,
+         CAST({_K} // 20 AS VARCHAR) AS track_id, value AS progress_sec, 5.0::DOUBLE + {_K} AS duration_sec,
+         CASE WHEN event_type = 'error' THEN 'IDLE' ELSE 'ACTIVE' END AS status
+  FROM events""",
     "audit": """
   SELECT user_id, event_id, played_at, song_name, predicted_prob, predicted_skip,
          CASE WHEN NOT pending THEN value END AS actual_played_sec,
@@ -90,11 +96,11 @@ VIEWS = {
                event_id % 10 = 0 AS pending, CAST(event_type = 'click' AS INTEGER) AS skipped
         FROM events)""",
     "predictions": """
-  SELECT user_id, event_id, ts AS at, json_extract_string(props, '$.k') AS song_name, 'a' AS artist_name,
+  SELECT user_id, event_id, ts AS made_at, json_extract_string(props, '$.k') AS song_name, 'a' AS artist_name,
          (event_id * 37 % 1000) / 1000 AS prob, CAST(event_id % 50 = 0 AS INTEGER) AS flagged
   FROM events WHERE event_type IN ('view', 'purchase', 'signup')""",
     "outcomes": """
-  SELECT user_id, event_id, ts AS at, json_extract_string(props, '$.k') AS song_name, 'a' AS artist_name,
+  SELECT user_id, event_id, ts AS made_at, json_extract_string(props, '$.k') AS song_name, 'a' AS artist_name,
          value AS listen_sec, value + 60 AS total_sec, CAST(event_type = 'click' AS INTEGER) AS was_skipped
   FROM events WHERE event_type IN ('click', 'error')""",
 }

@@ -28,8 +28,10 @@ def add(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None)
 def load() -> None:
     """Import every module that registers queries."""
     from playlens.plans import (  # noqa: F401
+        audit_queries,
         cleaning_queries,
         engagement_queries,
+        enrich_queries,
         feature_queries,
         ranking_queries,
         temporal_queries,

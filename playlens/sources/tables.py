@@ -35,6 +35,14 @@ ORDER_END = {"F": "fwdbtn", "O": "trackdone", "P": "endplay"}
 ORDER_START = {"1-URGENT": "clickrow", "2-HIGH": "trackdone", "3-MEDIUM": "fwdbtn", "5-LOW": "backbtn"}
 
 
+EPOCH_2024_US = 1704067200000000
+
+
+def _compressed(ts: Column | str) -> Column:
+    """2024-01-01 plus a hundredth of the time since then."""
+    return F.timestamp_micros(F.lit(EPOCH_2024_US) + F.floor((X.micros(ts) - EPOCH_2024_US) / 100))
+
+
 class Tables:
     """Lazy views; every access builds a plan, nothing is read before an action."""
 
@@ -170,17 +178,32 @@ class Tables:
 
     @cached_property
     def recent_plays(self) -> DataFrame:
-        """Finished plays as a poll reports them: an end time and a track duration."""
+        """Finished plays as a poll reports them: an end time and a track duration. The time axis is
+        compressed 100-fold, which brings a user's median gap to a few minutes."""
         p = self.plays
         return p.select(
             "user_id",
             "event_id",
-            F.col("time_stamp").alias("played_at"),
+            _compressed("time_stamp").alias("played_at"),
             F.concat_ws("::", "song_name", "artist_name").alias("track_id"),
             "song_name",
             "artist_name",
             "album_name",
-            (F.lit(120.0) + F.col("song_name").cast("int") * 40).alias("duration_sec"),
+            (F.lit(10.0) + F.col("song_name").cast("int") * 5).alias("duration_sec"),
+        )
+
+    @cached_property
+    def progress(self) -> DataFrame:
+        """Polled playback snapshots over ``events`` on the compressed time axis."""
+        e = self.table("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+        return e.select(
+            "user_id",
+            "event_id",
+            _compressed(F.col("ts").cast("timestamp")).alias("poll_ts"),
+            F.floor(F.col("k") / 20).cast("string").alias("track_id"),
+            F.col("value").alias("progress_sec"),
+            (F.lit(5.0) + F.col("k")).alias("duration_sec"),
+            F.when(F.col("event_type") == "error", "IDLE").otherwise("ACTIVE").alias("status"),
         )
 
     @cached_property
@@ -212,7 +235,7 @@ class Tables:
         return e.select(
             "user_id",
             "event_id",
-            F.col("ts").cast("timestamp").alias("at"),
+            F.col("ts").cast("timestamp").alias("made_at"),
             F.get_json_object("props", "$.k").alias("song_name"),
             F.lit("a").alias("artist_name"),
             ((F.col("event_id") * 37 % 1000) / 1000).alias("prob"),
@@ -225,7 +248,7 @@ class Tables:
         return e.select(
             "user_id",
             "event_id",
-            F.col("ts").cast("timestamp").alias("at"),
+            F.col("ts").cast("timestamp").alias("made_at"),
             F.get_json_object("props", "$.k").alias("song_name"),
             F.lit("a").alias("artist_name"),
             F.col("value").alias("listen_sec"),
