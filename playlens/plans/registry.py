@@ -32,6 +32,7 @@ def load() -> None:
         cleaning_queries,
         engagement_queries,
         enrich_queries,
+        evaluation_queries,
         feature_queries,
         ranking_queries,
         temporal_queries,
