@@ -35,5 +35,6 @@ def load() -> None:
         evaluation_queries,
         feature_queries,
         ranking_queries,
+        streaming_queries,
         temporal_queries,
     )
