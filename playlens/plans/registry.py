@@ -34,6 +34,7 @@ def load() -> None:
         enrich_queries,
         evaluation_queries,
         feature_queries,
+        io_queries,
         ranking_queries,
         streaming_queries,
         temporal_queries,

@@ -60,9 +60,10 @@ def read_live_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_meta_records(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata cache written as a list of records; unreadable records are dropped."""
-    return spark.read.schema(schemas.TRACK_META).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+def read_meta_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Metadata cache written as records, one JSON array per file or one record per line; unreadable
+    records are dropped."""
+    return spark.read.schema(schemas.TRACK_META).option("multiLine", multi_line).option("mode", "DROPMALFORMED").json(path)
 
 
 def meta_from_map(text: DataFrame, column: str = "value") -> DataFrame:
