@@ -61,30 +61,38 @@ def lifecycle_flows(plays: DataFrame, min_share: float = 0.01) -> DataFrame:
     def text(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit("None"))
 
-    staged = plays.select(
-        F.concat(F.lit("Device: "), X.platform_token("platform")).alias("a"),
-        F.concat(F.lit("Start: "), text("reason_start")).alias("b"),
-        F.concat(F.lit("End: "), text("reason_end")).alias("c"),
-    )
-    # one pass over the plays: the triples are few, both edge sets come from them
-    triples = staged.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
+    device = F.concat(F.lit("Device: "), X.platform_token("platform"))
+    start, end = F.concat(F.lit("Start: "), text("reason_start")), F.concat(F.lit("End: "), text("reason_end"))
 
-    def edge(source: str, target: str) -> DataFrame:
-        return triples.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.sum("n").alias("plays"))
+    def edge(source: Column, target: Column) -> Column:
+        return F.struct(source.alias("source"), target.alias("target"))
 
+    # one pass over the plays: count the few (device, start, end) triples, then split each into two edges
+    triples = plays.groupBy(device.alias("a"), start.alias("b"), end.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    both = triples.select("n", F.inline(F.array(edge(F.col("a"), F.col("b")), edge(F.col("b"), F.col("c")))))
     total = plays.agg(F.count(F.lit(1))).scalar()
-    edges = edge("a", "b").unionByName(edge("b", "c")).where(F.col("plays") >= total * min_share)
-    nodes = distinct_nodes(edges)
-    src = nodes.select(F.col("node").alias("source"), F.col("node_id").alias("source_id"))
-    dst = nodes.select(F.col("node").alias("target"), F.col("node_id").alias("target_id"))
-    return edges.join(src, "source").join(dst, "target")
-
-
-def distinct_nodes(edges: DataFrame) -> DataFrame:
-    """Distinct edge ends, numbered by name. Edges passed a share threshold, so at most 2 / share nodes."""
-    names = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct()
-    w = Window.partitionBy(F.lit(0)).orderBy("node")
-    return names.withColumn("node_id", F.row_number().over(w) - 1)
+    edges = both.groupBy("source", "target").agg(F.sum("n").alias("plays")).where(F.col("plays") >= total * min_share)
+    # each side of the flow sums to the table, so at most 2 / min_share edges are left: one short list
+    listed = edges.agg(F.collect_list(F.struct("source", "target", "plays")).alias("e"))
+    ends = F.flatten(F.transform("e", lambda x: F.array(x["source"], x["target"])))
+    numbered = listed.select("e", F.array_sort(F.array_distinct(ends)).alias("nodes"))
+    flat = numbered.select(F.inline("e"), "nodes")
+    return flat.select(
+        "source",
+        "target",
+        "plays",
+        (F.array_position("nodes", F.col("source")) - 1).cast("int").alias("source_id"),
+        (F.array_position("nodes", F.col("target")) - 1).cast("int").alias("target_id"),
+    )
+
+
+def distinct_nodes(flows: DataFrame) -> DataFrame:
+    """The distinct ends of the flows with their numbers."""
+    ends = F.array(
+        F.struct(F.col("source").alias("node"), F.col("source_id").alias("node_id")),
+        F.struct(F.col("target").alias("node"), F.col("target_id").alias("node_id")),
+    )
+    return flows.select(F.inline(ends)).distinct()
 
 
 def attention_span(plays: DataFrame, limit_sec: int = 630) -> DataFrame:

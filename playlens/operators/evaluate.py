@@ -24,7 +24,7 @@ def cumulative(scored: DataFrame) -> DataFrame:
     totals = counts.groupBy("model").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     rows = OrderedRows.by(counts, ["model"], ["-score"])
     running = rows.running({"tp": r_sum(F.col("pos"), inclusive=True), "fp": r_sum(F.col("neg"), inclusive=True)}).rows()
-    return running.join(totals, "model")
+    return running.join(F.broadcast(totals), "model")  # one row per model
 
 
 def pr_curve(scored: DataFrame) -> DataFrame:

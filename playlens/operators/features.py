@@ -41,7 +41,7 @@ def smoothed(skips: Column, plays: Column, prior: Column, weight: int = SMOOTHIN
 
 def with_prior(plays: DataFrame) -> OrderedRows:
     """``past_plays``, ``past_skips`` and their rate ``rolling_global_skip_rate`` before each play."""
-    rows = ordered_plays(labelled(plays)).running({"past_plays": r_count(), "past_skips": r_sum(F.col("is_skip"))})
+    rows = ordered_plays(labelled(plays), sized_by=plays).running({"past_plays": r_count(), "past_skips": r_sum(F.col("is_skip"))})
     return rows.with_columns({"rolling_global_skip_rate": prior_rate(F.col("past_skips"), F.col("past_plays"))})
 
 
@@ -62,7 +62,7 @@ def global_prior(plays: DataFrame) -> DataFrame:
 
 def target_encode(plays: DataFrame, name: str, weight: int = SMOOTHING) -> DataFrame:
     """Smoothed skip rate of one entity with the expanding prior."""
-    rows = ordered_plays(labelled(plays)).running_many(
+    rows = ordered_plays(labelled(plays), sized_by=plays).running_many(
         [((), {"past_plays": r_count(), "past_skips": r_sum(F.col("is_skip"))}), *entity_history([name])]
     )
     prior = prior_rate(F.col("past_skips"), F.col("past_plays"))
@@ -74,7 +74,7 @@ def target_encode_static(plays: DataFrame, name: str, weight: int = SMOOTHING) -
     """The variant whose prior is the whole table's mean (it sees the future; kept as an option)."""
     base = labelled(plays)
     totals = base.agg((F.sum("is_skip") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("m"))
-    rows = ordered_plays(base).running_many(entity_history([name]))
+    rows = ordered_plays(base, sized_by=plays).running_many(entity_history([name]))
     encoded = rows.rows().withColumn(f"{name}_smoothed_skip_rate", entity_rate(name, totals.scalar(), weight))
     return encoded.select("user_id", "event_id", f"{name}_smoothed_skip_rate")
 
@@ -101,7 +101,7 @@ def target_encode_multitag(plays: DataFrame, weight: int = SMOOTHING) -> DataFra
 
 
 def cold_start_artist(plays: DataFrame, min_plays: int = 3) -> DataFrame:
-    rows = ordered_plays(labelled(plays)).running({"artist_past_plays": r_count()}, ["artist_name"])
+    rows = ordered_plays(labelled(plays), sized_by=plays).running({"artist_past_plays": r_count()}, ["artist_name"])
     cold = (F.col("artist_past_plays") < min_plays).cast("int")
     return rows.with_columns({"is_cold_start_artist": cold}).rows(["user_id", "event_id", "is_cold_start_artist"])
 
@@ -154,7 +154,8 @@ def feature_matrix(plays: DataFrame, extra_windows_sec: dict[str, int] | None =
     """All features in one pass: one exchange on the user, then windows that differ in sort only."""
     windows = {"skips_last_3m": 180, "skips_last_15m": 900, **(extra_windows_sec or {})}
     base = {"past_plays": r_count(), "past_skips": r_sum(F.col("is_skip"))}
-    rows = ordered_plays(labelled(plays)).running_many([((), base), *entity_history(ENTITY_KEYS)])
+    # the plain user windows come last, next to those of the later steps, which share their sort
+    rows = ordered_plays(labelled(plays), sized_by=plays).running_many([*entity_history(ENTITY_KEYS), ((), base)])
     rows = look_back(momentum(rows), windows)
     prior = prior_rate(F.col("past_skips"), F.col("past_plays"))
     ts, hour = "time_stamp", F.hour("time_stamp")

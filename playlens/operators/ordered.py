@@ -88,9 +88,18 @@ class OrderedRows:
 
     # -- construction --------------------------------------------------------------------------
     @classmethod
-    def by(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> OrderedRows:
+    def by(
+        cls,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        limit: int | None = None,
+        sized_by: DataFrame | None = None,
+    ) -> OrderedRows:
+        """``sized_by``: a frame with the same rows per key that is cheaper to count, such as the table
+        before columns were added; its counts are remembered across operators."""
         limit = limit or hot_row_limit(df)
-        found = hot_keys(df, keys, limit)
+        found = hot_keys(df if sized_by is None else sized_by, keys, limit)
         if not found:
             return cls(df.repartition(*keys), None, keys, order, 0, limit, False)
         spark = df.sparkSession

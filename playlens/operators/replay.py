@@ -117,7 +117,7 @@ def audit_training_features(
             "actual_skipped": F.coalesce("actual_skipped", F.lit(0)),
         }
     )
-    rows = session_clock(ordered_plays(known, "played_at"), F.col("duration_sec"), idle_sec)
+    rows = session_clock(ordered_plays(known, "played_at", audit), F.col("duration_sec"), idle_sec)
     out = feature_columns(session_state(rows, REPLAY_WINDOWS).rows(), artist_rates, song_rates)
     return out.withColumn("is_skip", F.col("actual_skipped"))
 
@@ -143,7 +143,7 @@ def track_changes(progress: DataFrame, short_track: str = "flat30") -> OrderedRo
     """Active polls with the previous active poll beside them. A change of track, or the same track
     jumping back by more than 5 s, closes the previous play; idle polls do not break the chain."""
     active = progress.where(F.col("status") == "ACTIVE")
-    rows = ordered_plays(active, "poll_ts").running({"before": lag_struct("track_id", "progress_sec", "duration_sec")})
+    rows = ordered_plays(active, "poll_ts", progress).running({"before": lag_struct("track_id", "progress_sec", "duration_sec")})
     restarted = F.col("progress_sec") < F.col("before.progress_sec") - 5.0
     changed = F.col("before").isNull() | (F.col("track_id") != F.col("before.track_id")) | restarted
     closes = changed & F.col("before").isNotNull()

@@ -12,9 +12,10 @@ from playlens.operators.rank import topn_per_group
 US = 1_000_000
 
 
-def ordered_plays(plays: DataFrame, time: str = "time_stamp", keys=("user_id",)) -> OrderedRows:
+def ordered_plays(plays: DataFrame, time: str = "time_stamp", sized_by: DataFrame | None = None) -> OrderedRows:
     """Plays per user in (time, id) order, with the time also as whole microseconds ``t_us``."""
-    return OrderedRows.by(plays.withColumn("t_us", X.micros(time)), keys, ["t_us", "event_id"])
+    keyed = plays.withColumn("t_us", X.micros(time))
+    return OrderedRows.by(keyed, ["user_id"], ["t_us", "event_id"], sized_by=plays if sized_by is None else sized_by)
 
 
 def sessionize(plays: DataFrame, gap_sec: int = 1800, gap_from: str = "end") -> DataFrame:

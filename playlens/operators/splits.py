@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
-from playlens.operators.ordered import OrderedRows, r_count, r_sum
+from playlens.operators.ordered import OrderedRows, r_count
 
 
 def by_year(df: DataFrame, first: int, last_train: int, ts: str = "time_stamp") -> DataFrame:
@@ -15,52 +15,61 @@ def by_year(df: DataFrame, first: int, last_train: int, ts: str = "time_stamp")
     return df.where(year >= first).withColumn("split", F.when(year <= last_train, "train").otherwise("test"))
 
 
-def nth_in_order(df: DataFrame, n: int, ts: str = "time_stamp", tie: str = "event_id") -> Row | None:
-    """The n-th row (from 1) in (time, id) order over the whole table, as (t_us, id).
+DAY_US, SECOND_US = 86_400_000_000, 1_000_000
 
-    Narrowed down in steps instead of ranking everything: plays per day, then per second of the day that
-    holds the row, then the exact order within that second. Each step sends one row to the driver."""
-    if n <= 0:
-        return None
-    keyed = df.select(X.micros(ts).alias("t_us"), F.col(tie).alias("event_id"))
-    scope, rest = keyed, n
-    for unit_us in (86_400_000_000, 1_000_000):
-        counts = scope.groupBy(F.floor(F.col("t_us") / unit_us).alias("event_id")).agg(F.count(F.lit(1)).alias("n"))
-        prefixed = _running(counts.withColumn("t_us", F.col("event_id")), F.col("n"))
-        hit = prefixed.where((F.col("before") < rest) & (F.col("before") + F.col("n") >= rest)).first()
-        if hit is None:
-            return None
-        lo = hit["event_id"] * unit_us
-        scope = scope.where((F.col("t_us") >= lo) & (F.col("t_us") < lo + unit_us))
-        rest -= hit["before"]
-    ranked = _running(scope, F.lit(1).cast("bigint"))
-    return ranked.where(F.col("before") == rest - 1).select("t_us", "event_id").first()
 
+def _locate(rows: DataFrame, unit_us: int, target) -> Row | None:
+    """The time unit that holds the target row. One row per unit: at most the days of the calendar or the
+    seconds of a day, so the window over them is small whatever the table holds."""
+    counts = rows.groupBy(F.floor(F.col("t_us") / unit_us).alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+    all_units = Window.partitionBy(F.lit(0))
+    placed = counts.withColumns(
+        {
+            "total": F.sum("n").over(all_units),
+            "before": F.sum("n").over(all_units.orderBy("unit")) - F.col("n"),
+        }
+    ).withColumn("target", target(F.col("total")).cast("bigint"))
+    hit = (F.col("before") < F.col("target")) & (F.col("before") + F.col("n") >= F.col("target"))
+    return placed.where(hit).first()
 
-def _running(df: DataFrame, value) -> DataFrame:
-    rows = OrderedRows.by(df.withColumn("_all", F.lit(0)), ["_all"], ["t_us", "event_id"])
-    return rows.running({"before": r_sum(value)}).rows()
 
+def nth_in_order(df: DataFrame, target, ts: str = "time_stamp", tie: str = "event_id") -> Row | None:
+    """The row at position ``target(total)`` (from 1) in (time, id) order over the whole table.
 
-def by_count(df: DataFrame, train_rows: int, ts: str = "time_stamp", tie: str = "event_id") -> DataFrame:
-    """The first ``train_rows`` rows in time order are train, the rest test. Once the boundary row is
-    known this is a plain filter expression: the table itself is not shuffled."""
-    edge = nth_in_order(df, train_rows, ts, tie)
-    if edge is None:
-        return df.withColumn("split", F.lit("test" if train_rows <= 0 else "train"))
+    Narrowed down instead of ranking everything: the day that holds it, the second of that day, then the
+    exact order within the second. Each step sends one row to the driver; None when there is no such row."""
+    rows = df.select(X.micros(ts).alias("t_us"), F.col(tie).alias("event_id"))
+    for unit_us in (DAY_US, SECOND_US):
+        hit = _locate(rows, unit_us, target)
+        if hit is None:
+            return None
+        lo, rest = hit["unit"] * unit_us, hit["target"] - hit["before"]
+        rows = rows.where((F.col("t_us") >= lo) & (F.col("t_us") < lo + unit_us))
+        target = lambda _, n=rest: F.lit(n)
+    ranked = OrderedRows.by(rows.withColumn("_all", F.lit(0)), ["_all"], ["t_us", "event_id"]).running(
+        {"position": r_count(inclusive=True)}
+    )
+    return ranked.rows().where(F.col("position") == rest).select("t_us", "event_id").first()
+
+
+def by_position(df: DataFrame, target, ts: str = "time_stamp", tie: str = "event_id") -> DataFrame:
+    """Rows up to position ``target(total)`` in time order are train, the rest test. Once the boundary row
+    is known this is a plain expression: the table itself is not shuffled."""
+    edge = nth_in_order(df, target, ts, tie)
+    if edge is None:  # the target is zero or less: nothing to train on
+        return df.withColumn("split", F.lit("test"))
     t, i = X.micros(ts), F.col(tie)
     first = (t < edge["t_us"]) | ((t == edge["t_us"]) & (i <= edge["event_id"]))
     return df.withColumn("split", F.when(first, "train").otherwise("test"))
 
 
 def by_fraction(df: DataFrame, fraction: float, ts: str = "time_stamp", tie: str = "event_id") -> DataFrame:
-    return by_count(df, int(df.count() * fraction), ts, tie)
+    return by_position(df, lambda n: F.floor(n * fraction), ts, tie)
 
 
 def tail(df: DataFrame, ratio: float = 0.15, at_least: int = 500, ts: str = "time_stamp", tie: str = "event_id") -> DataFrame:
     """The last max(``at_least``, ``ratio``) rows in time order are the validation set."""
-    n = df.count()
-    return by_count(df, n - max(at_least, int(n * ratio)), ts, tie)
+    return by_position(df, lambda n: n - F.greatest(F.lit(at_least), F.floor(n * ratio)), ts, tie)
 
 
 def assemble(frames: list[DataFrame], columns: list[str]) -> DataFrame:

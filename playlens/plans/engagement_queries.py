@@ -97,7 +97,7 @@ FLOWS = dict(
 )
 add(
     "lifecycle_flows",
-    lambda t: engagement.lifecycle_flows(t.plays).select("source", "target", "plays", "source_id", "target_id"),
+    lambda t: engagement.lifecycle_flows(t.plays),
     with_views(
         "plays",
         "SELECT k.source, k.target, k.plays, s.node_id AS source_id, d.node_id AS target_id FROM k "
@@ -107,7 +107,7 @@ add(
 )
 add(
     "distinct_nodes",
-    lambda t: engagement.distinct_nodes(engagement.lifecycle_flows(t.plays).select("source", "target")),
+    lambda t: engagement.distinct_nodes(engagement.lifecycle_flows(t.plays)),
     with_views("plays", "SELECT * FROM nd", **FLOWS),
 )
 add(

@@ -78,7 +78,7 @@ add(
 add(
     "stream_idempotent_sink",
     lambda t: run.collect_stream(
-        ingest.flatten_polls(poll_stream(t, maxFilesPerTrigger=2)), "once", sink_keys=["user_id", "played_at"]
+        ingest.flatten_polls(poll_stream(t, maxFilesPerTrigger=2)), "once", sink_keys=["user_id", "played_at"], time="played_at"
     ).select("user_id", "played_at"),
     with_views("", "SELECT DISTINCT user_id, played_at FROM g", **REPORTED),
 )

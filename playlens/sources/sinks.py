@@ -12,8 +12,8 @@ from playlens.session import materialize
 
 
 def overwrite_table(df: DataFrame, path: str, partition: str | None = "year") -> None:
-    """Replace the table at ``path``. Rows are clustered by the partition column and split into
-    files of bounded size, so a year that holds most rows still writes from many tasks."""
+    """Replace the table at ``path``. Rows stay in the tasks they are in, so a year that holds most rows
+    is written by many tasks, and files are bounded in rows."""
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
     if partition and partition in df.columns:
         writer = writer.partitionBy(partition)

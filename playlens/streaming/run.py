@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from playlens.session import scratch_path
 
 BATCH = "batch_id"
+DAY = "day"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,18 +32,23 @@ def write_batch(path: str):
     return sink
 
 
-def append_once(path: str, keys: list[str]):
-    """Like `write_batch`, and records whose key an earlier batch already stored are left out."""
+def append_once(path: str, keys: list[str], time: str):
+    """Like `write_batch`, and records whose key an earlier batch already stored are left out.
+
+    Files are laid out by the day of ``time`` (one of the keys) and a batch is compared only with the days
+    it touches, so the cost follows the look-back of the polls and not the age of the table."""
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        fresh = df.dropDuplicates(keys)
+        fresh = df.dropDuplicates(keys).withColumn(DAY, F.to_date(time))
+        span = fresh.agg(F.min(DAY).alias("lo"), F.max(DAY).alias("hi")).first()
         try:
-            stored = df.sparkSession.read.parquet(path).where(F.col(BATCH) != batch_id).select(*keys)
+            stored = df.sparkSession.read.parquet(path).where(F.col(DAY).between(span["lo"], span["hi"]))
+            stored = stored.where(F.col(BATCH) != batch_id).select(*keys)
             fresh = fresh.join(stored, keys, "left_anti")
         except AnalysisException as empty:
             if empty.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-        fresh.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        fresh.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/{BATCH}={batch_id}")
 
     return sink
 
@@ -73,11 +79,11 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", s
     query.awaitTermination()
 
 
-def collect_stream(stream: DataFrame, label: str, mode: str = "append", sink_keys: list[str] | None = None) -> DataFrame:
+def collect_stream(stream: DataFrame, label: str, mode: str = "append", sink_keys: list[str] | None = None, time: str | None = None) -> DataFrame:
     """Drain into the scratch folder and return what was written, with the batch id of every row."""
     spark = stream.sparkSession
     path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
-    sink = append_once(path, sink_keys) if sink_keys else None
+    sink = append_once(path, sink_keys, time) if sink_keys else None
     drain(stream, path, checkpoint, mode, sink)
     return spark.read.schema(StructType([*stream.schema.fields, StructField(BATCH, IntegerType())])).parquet(path)
 
