@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from playlens.session import materialize
 
 DEFAULT_HOT_ROWS = 4_000_000
-CHUNK = "_chunk"
+CHUNK, CARRY = "_chunk", "_carry"
 _hot_key_memo: dict[tuple, list] = {}
 
 
@@ -113,7 +113,7 @@ class OrderedRows:
         chunks = max(2, -(-2 * sum(f[-1] for f in found) // limit))
         ranged = hot.repartitionByRange(chunks, *[F.col(k) for k in keys], *[_sort_expr(o) for o in order])
         stored = materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
-        return cls(cold.repartition(*keys), stored.repartition(chunks, CHUNK), keys, order, chunks, limit, True)
+        return cls(cold.repartition(*keys), stored, keys, order, chunks, limit, True)
 
     # -- row-wise steps --------------------------------------------------------------------------
     def map(self, step: Callable[[DataFrame], DataFrame]) -> OrderedRows:
@@ -138,8 +138,8 @@ class OrderedRows:
         hot = None if self.hot is None else self._running_hot(specs)
         return self._with(cold, hot)
 
-    def _windowed(self, r: Running, by: Sequence[str]) -> Column:
-        w = Window.partitionBy(*by).orderBy(*[_sort_expr(o) for o in self.order])
+    def _windowed(self, r: Running, by: Sequence[str], first: Sequence[Column] = ()) -> Column:
+        w = Window.partitionBy(*by).orderBy(*first, *[_sort_expr(o) for o in self.order])
         w = w.rowsBetween(Window.unboundedPreceding, 0 if r.inclusive else -1)
         if r.kind == "sum":
             return F.coalesce(F.sum(r.value).over(w), F.lit(0))
@@ -148,37 +148,33 @@ class OrderedRows:
         return F.last(r.value, ignorenulls=True).over(w)
 
     def _running_hot(self, specs) -> DataFrame:
+        """The carry of a key enters its chunk as one extra row that sorts before all others, so the plain
+        running value over the chunk already includes it: one exchange on the chunk and no join."""
         if not self._hot_is_stored:  # a carry reads the frame again: store it instead of recomputing
-            self.hot = materialize(self.hot, "chunks").repartition(self.chunks, CHUNK)
+            self.hot = materialize(self.hot, "chunks")
             self._hot_is_stored = True
-        base, out = self.hot, self.hot
-        for extra, outputs in specs:
-            by = [*self.keys, *extra]
-            out = out.withColumns({n: self._windowed(r, [CHUNK, *by]) for n, r in outputs.items()})
-            carry = self._carry(base, by, outputs)
-            on = reduce(
-                lambda a, b: a & b,
-                [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [CHUNK, *by]],
-            )
-            joined = out.alias("l").join(carry.alias("c"), on, "left")
-            merged = [
-                self._merge(r, F.col(f"l.{n}"), F.col(f"c._c_{n}")).alias(n) for n, r in outputs.items()
-            ]
-            kept = [F.col(f"l.{c}") for c in out.columns if c not in outputs]
-            out = joined.select(*kept, *merged)
-        return out
+        base, is_row = self.hot, F.col(CARRY).isNull()
+        both = base.withColumn(CARRY, F.lit(None).cast("int"))
+        for i, (extra, outputs) in enumerate(specs):
+            carry = self._carry(base, [*self.keys, *extra], outputs)
+            both = both.unionByName(carry.withColumn(CARRY, F.lit(i)), allowMissingColumns=True)
+        out = both.repartition(self.chunks, CHUNK)
+        for i, (extra, outputs) in enumerate(specs):
+            by = [CHUNK, *self.keys, *extra]
+            seen = {
+                n: Running(r.kind, F.when(is_row, r.value).when(F.col(CARRY) == i, F.col(f"_c_{n}")), r.inclusive)
+                for n, r in outputs.items()
+            }
+            out = out.withColumns({n: self._windowed(r, by, [is_row.asc()]) for n, r in seen.items()})
+        return out.where(is_row).drop(CARRY, *[f"_c_{n}" for _, outputs in specs for n in outputs])
 
     def _carry(self, base: DataFrame, by: Sequence[str], outputs: dict[str, Running]) -> DataFrame:
         """Totals per (key, chunk), then their running value over the earlier chunks of the key."""
         totals = base.groupBy(CHUNK, *by).agg(*[self._total(r).alias(f"_c_{n}") for n, r in outputs.items()])
         before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        over = {
-            f"_c_{n}": {"sum": F.sum, "max": F.max}.get(r.kind, lambda c: F.last(c, ignorenulls=True))(
-                F.col(f"_c_{n}")
-            ).over(before)
-            for n, r in outputs.items()
-        }
-        return totals.withColumns(over).repartition(self.chunks, CHUNK)
+        merge = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
+        carried = totals.withColumns({f"_c_{n}": merge[r.kind](F.col(f"_c_{n}")).over(before) for n, r in outputs.items()})
+        return carried.where(reduce(lambda a, b: a | b, [F.col(f"_c_{n}").isNotNull() for n in outputs]))
 
     def _total(self, r: Running) -> Column:
         if r.kind == "sum":
@@ -190,14 +186,6 @@ class OrderedRows:
         pick = F.min_by if descending else F.max_by
         return pick(r.value, F.when(r.value.isNotNull(), rank))
 
-    @staticmethod
-    def _merge(r: Running, local: Column, carry: Column) -> Column:
-        if r.kind == "sum":
-            return F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0))
-        if r.kind == "max":
-            return F.greatest(local, carry)
-        return F.coalesce(local, carry)
-
     # -- result ----------------------------------------------------------------------------------
     def rows(self, columns: Sequence[str | Column] | None = None) -> DataFrame:
         parts = [self.cold] + ([] if self.hot is None else [self.hot.drop(CHUNK)])
@@ -275,4 +263,4 @@ def _time_lookback_hot(rows, time_us, row_id, flag, windows_us, last_flag, flags
     joined = base.join(wide, [*rows.keys, row_id])
     return joined.withColumns({n: F.col(flags_before) - F.col(f"_le_{n}") for n in windows_us}).drop(
         *[f"_le_{n}" for n in windows_us]
-    ).repartition(rows.chunks, CHUNK)
+    )
