@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators.ordered import OrderedRows, r_sum
+from playlens.session import materialize
 
 EPSILON = 1e-9
 
@@ -19,8 +20,9 @@ def score_counts(scored: DataFrame) -> DataFrame:
 
 
 def cumulative(scored: DataFrame) -> DataFrame:
-    """tp / fp when every score >= this one is called positive, plus the model's totals p and n."""
-    counts = score_counts(scored)
+    """tp / fp when every score >= this one is called positive, plus the model's totals p and n.
+    The counts are read three times from here on, so they are stored: the scored rows are read once."""
+    counts = materialize(score_counts(scored), "scores")
     totals = counts.groupBy("model").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     rows = OrderedRows.by(counts, ["model"], ["-score"])
     running = rows.running({"tp": r_sum(F.col("pos"), inclusive=True), "fp": r_sum(F.col("neg"), inclusive=True)}).rows()

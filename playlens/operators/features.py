@@ -83,15 +83,15 @@ def target_encode_multitag(plays: DataFrame, weight: int = SMOOTHING) -> DataFra
     """Mean over all tags of a play of the tag's smoothed rate from earlier plays. A tag listed twice
     counts twice, in the history and in the mean, so occurrences are summed per (play, tag) first."""
     rows = with_prior(plays).rows(["user_id", "event_id", "t_us", "is_skip", "rolling_global_skip_rate", "tags"])
-    clean_tag = F.trim(F.lower(F.col("tag")))
     listed = F.when(F.size("tags") > 0, F.col("tags")).otherwise(F.array(F.lit("unknown")))
+    tag = F.explode(F.transform(listed, lambda t: F.trim(F.lower(t)))).alias("tag")
     per_tag = (
-        rows.withColumn("tag", F.explode(listed))
-        .withColumn("tag", clean_tag)
+        rows.select("user_id", "event_id", "t_us", "is_skip", "rolling_global_skip_rate", tag)
         .groupBy("user_id", "event_id", "t_us", "is_skip", "rolling_global_skip_rate", "tag")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    history = OrderedRows.by(per_tag, ["user_id", "tag"], ["t_us", "event_id"]).running(
+    occurrences = plays.select("user_id", tag)  # sizes the keys without the windows above
+    history = OrderedRows.by(per_tag, ["user_id", "tag"], ["t_us", "event_id"], sized_by=occurrences).running(
         {"tag_plays": r_sum(F.col("times")), "tag_skips": r_sum(F.col("times") * F.col("is_skip"))}
     ).rows()
     rate = smoothed(F.col("tag_skips"), F.col("tag_plays"), F.col("rolling_global_skip_rate"), weight)

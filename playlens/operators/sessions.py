@@ -73,7 +73,8 @@ def silent_gaps(plays: DataFrame, gap_sec: int = 1800) -> DataFrame:
         .agg(F.min("t_us").alias("lo"), F.max("t_us").alias("hi"))
         .withColumns({"t_us": F.col("lo"), "event_id": F.col("session_id")})
     )
-    prev = OrderedRows.by(bounds, ["user_id"], ["t_us", "event_id"]).running({"_prev": lag_struct("hi")}).rows()
+    # a user has no more sessions than plays, and the plays per user are already known
+    prev = OrderedRows.by(bounds, ["user_id"], ["t_us", "event_id"], sized_by=plays).running({"_prev": lag_struct("hi")}).rows()
     gap = F.col("lo") - F.col("_prev.hi")
     gaps = prev.where(F.col("_prev").isNotNull()).select(F.floor(gap / (3600 * US)).alias("gap_hours"), gap.alias("gap_us"))
     return gaps.groupBy("gap_hours").agg(F.count(F.lit(1)).alias("gaps"), F.sum(F.floor(F.col("gap_us") / US)).alias("gap_seconds"))

@@ -29,7 +29,7 @@ def rows(df):
 def test_hot_equals_cold(tables, hot, job):
     hot(10_000_000)
     plain = rows(JOBS[job](tables))
-    hot({"pr_curve": 300, "order": 200, "resolve": 4}.get(job, 70))
+    hot({"pr_curve": 400, "order": 300, "resolve": 3}.get(job, 75))
     assert rows(JOBS[job](tables)) == plain
 
 

@@ -21,15 +21,21 @@ def test_feature_matrix_shuffles_plays_once(tables):
     assert "SinglePartition" not in text
 
 
-# windows over calendar rows (days, months, hour blocks) are bounded by the calendar and may be single
-CALENDAR = {"daily_usage_trend", "rolling_mean_rows", "autoplay_reliance", "skip_cdf"}
 # one key on purpose: plain only while its measured rows stay under the hot limit
 MEASURED = {"global_prior_all_users", "order_positions"}
 SINGLE = re.compile(r"Window [^\n]*\n[^\n]*Sort [^\n]*\n[^\n]*Exchange SinglePartition")
-LAZY = [n for n in registry.QUERIES if not n.startswith(("stream_", "sink_", "scan_", "train_", "late_", "tune_", "persist_", "feature_importance"))]
-
-
-@pytest.mark.parametrize("name", sorted(set(LAZY) - CALENDAR - MEASURED))
+# one of each kind; tables of calendar rows (days, months, hour blocks) may use a single partition
+KINDS = """
+rank_artist_alltime_plays rank_song_day genre_listened_month genre_explored_year volume_hour skip_heatmap reason_start_share
+lifecycle_flows platform_outcome_ratio quickest_skipped_artists attention_shift_artist one_hit_wonders sessionize binge_histogram
+session_quantiles silent_gap_distribution artist_month_streaks silent_breaks date_difference genre_cascade artist_top3_imputation
+latest_rate_lookup lookup_with_fallback target_encode_multitag rolling_skips asof_last_skip listen_streak feature_matrix
+session_replay_features session_mood pending_upsert resolve_outcomes audit_metrics pr_curve roc_auc threshold_sweep
+strategy_compare challenger_gate class_weight
+""".split()
+
+
+@pytest.mark.parametrize("name", KINDS)
 def test_no_window_over_a_single_partition(spark, name):
     text = plan(registry.QUERIES[name](spark, SMALL))
     assert not SINGLE.search(text)
