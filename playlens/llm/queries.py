@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import bpe, lines, simhash, topk, urls
+from playlens.llm import bpe, lines, simhash, topk, urls, windows
 from playlens.llm.common import documents, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -38,6 +38,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = windows.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op6_bpe": op6_bpe,
+    "op7_repeats": op7_repeats,
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
 }
