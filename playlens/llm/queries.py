@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import bpe, lines, simhash, topk, urls, windows
+from playlens.llm import bpe, lines, mixing, quality, simhash, topk, urls, windows
 from playlens.llm.common import documents, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +28,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.print_hex(F.col("f")).alias("fingerprint"), "component_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -52,13 +56,25 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("id % 50 = 0"), k=5)
 
 
+def quality_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table of the mixture: ``labels.quality`` as a domain."""
+    return table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "prime").when(F.col("quality") == 0, "rough").alias("domain"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(documents(spark, sf_dir).select("doc_id", "text"), quality_domains(spark, sf_dir))
+    return out.select("doc_id", "n_tokens", F.col("posterior")[0].alias("p_prime"), F.col("posterior")[1].alias("p_rough"), "rate", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_repeats": op7_repeats,
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
+    "op10_mixing": op10_mixing,
 }
 
 _TRIM = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
