@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import bpe, lines, mixing, quality, simhash, topk, urls, windows
+from playlens.llm import bpe, lines, mixing, pii, quality, simhash, topk, toxicity, urls, windows
 from playlens.llm.common import documents, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -37,6 +37,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return out.select("doc_id", *map(count, pii.KINDS), F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"), evidence=None)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_documents(documents(spark, sf_dir).select("doc_id", "text"), vocabulary_path())
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -70,6 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
+    "op4_pii": op4_pii,
+    "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_repeats": op7_repeats,
     "op8_url_filter": op8_url_filter,
