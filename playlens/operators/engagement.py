@@ -143,8 +143,8 @@ def skip_thresholds(plays: DataFrame, cuts=(5, 15, 30)) -> DataFrame:
 
 def skip_cdf(plays: DataFrame) -> DataFrame:
     """Empirical CDF of seconds before a skip: counts per whole second, then a two-level running sum
-    (per hour block, then inside the block), so no window spans all rows."""
-    skips = plays.where(F.col("reason_end") == X.SKIP_REASON)
+    (per hour block, then inside the block), so no window spans all rows. Plays without seconds don't count."""
+    skips = plays.where((F.col("reason_end") == X.SKIP_REASON) & F.col("sec_played").isNotNull())
     per = skips.groupBy("sec_played").agg(F.count(F.lit(1)).alias("n")).withColumn("block", F.floor(F.col("sec_played") / 3600))
     blocks = per.groupBy("block").agg(F.sum("n").alias("bn"))
     w = Window.partitionBy(F.lit(0)).orderBy("block")  # one row per hour of play length

@@ -6,6 +6,8 @@ threshold, and otherwise sort-merge joins with AQE splitting skewed partitions o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,5 +150,7 @@ def with_rates(df: DataFrame, artist_rates: DataFrame, song_rates: DataFrame, de
 
 
 def new_events(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming records whose key is not stored yet, one per key."""
-    return incoming.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
+    """Incoming records whose key is not stored yet, one per key. Null parts of a key equal each other."""
+    known = stored.select(*[F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{i}")) for i, k in enumerate(keys)])
+    return incoming.dropDuplicates(keys).join(known, same, "left_anti")

@@ -95,11 +95,12 @@ def silent_days(plays: DataFrame) -> DataFrame:
 
 
 def silent_dates(plays: DataFrame) -> DataFrame:
-    """The silent days themselves: each user's calendar minus the user's active days."""
+    """The silent days themselves: each user's calendar minus the user's active days. Plays without a user are one user."""
     active = plays.select("user_id", F.to_date("time_stamp").alias("day")).distinct()
     span = active.groupBy("user_id").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     spine = span.select("user_id", F.explode(F.sequence("lo", "hi")).alias("day"))
-    return spine.join(active, ["user_id", "day"], "left_anti")
+    seen = active.select(F.col("user_id").alias("_user"), F.col("day").alias("_day"))
+    return spine.join(seen, F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("day") == F.col("_day")), "left_anti")
 
 
 def hiatus(plays: DataFrame, unit: str, entity: str = "artist_name") -> DataFrame:

@@ -14,6 +14,7 @@ Both paths give the same rows; the split only decides how they are computed.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +26,11 @@ from playlens.session import materialize
 
 DEFAULT_HOT_ROWS = 4_000_000
 CHUNK, CARRY = "_chunk", "_carry"
-_hot_key_memo: dict[tuple, list] = {}
+#: Hot keys found lately, per plan and files read. Steers plans only.
+_hot_key_memo: OrderedDict[tuple, list] = OrderedDict()
+MEMO_SIZE = 64
+#: Lists of hot keys up to this length are broadcast; longer ones are joined as the planner sees fit.
+BROADCAST_KEYS = 100_000
 
 
 def hot_row_limit(df: DataFrame) -> int:
@@ -33,13 +38,17 @@ def hot_row_limit(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> list:
-    """(key..., rows) of the keys with more than ``limit`` rows. At most total/limit of them exist, so the list is small.
-    It steers the plan only, never the result, so remembering it per input plan is safe."""
+    """(key..., rows) of the keys with more than ``limit`` rows; at most total/limit of them exist.
+    It steers the plan only, never the result. Remembered per input plan and file listing, so rows appended
+    to a folder are counted anew."""
     probe = df.select(*keys)
-    memo = (df.sparkSession.sparkContext.applicationId, probe.semanticHash(), tuple(keys), limit)
+    files = hash(tuple(sorted(df.inputFiles())))
+    memo = (df.sparkSession.sparkContext.applicationId, probe.semanticHash(), files, tuple(keys), limit)
     if memo not in _hot_key_memo:
         counted = probe.groupBy(*keys).count().where(F.col("count") > limit)
         _hot_key_memo[memo] = [tuple(r) for r in counted.collect()]
+        while len(_hot_key_memo) > MEMO_SIZE:
+            _hot_key_memo.popitem(last=False)
     return _hot_key_memo[memo]
 
 
@@ -107,7 +116,9 @@ class OrderedRows:
         mark = spark.createDataFrame([f[:-1] for f in found], schema)  # <= total / limit rows
         match = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
         on = reduce(lambda a, b: a & b, match)
-        left, right = df.alias("l"), F.broadcast(mark.alias("h"))
+        left, right = df.alias("l"), mark.alias("h")
+        if len(found) <= BROADCAST_KEYS:
+            right = F.broadcast(right)
         cold = left.join(right, on, "left_anti")
         hot = left.join(right, on, "left_semi")
         chunks = max(2, -(-2 * sum(f[-1] for f in found) // limit))
@@ -260,7 +271,10 @@ def _time_lookback_hot(rows, time_us, row_id, flag, windows_us, last_flag, flags
         F.max(F.when(F.col("probe") == last_flag, F.col("_last"))).alias(last_flag),
         *[F.max(F.when(F.col("probe") == n, F.col("_hits"))).alias(f"_le_{n}") for n in windows_us],
     )
-    joined = base.join(wide, [*rows.keys, row_id])
+    ids = [*rows.keys, row_id]
+    answers = wide.select(*[F.col(k).alias(f"_id{i}") for i, k in enumerate(ids)], last_flag, *[f"_le_{n}" for n in windows_us])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_id{i}")) for i, k in enumerate(ids)])  # a null key is a key
+    joined = base.join(answers, same).drop(*[f"_id{i}" for i in range(len(ids))])
     return joined.withColumns({n: F.col(flags_before) - F.col(f"_le_{n}") for n in windows_us}).drop(
         *[f"_le_{n}" for n in windows_us]
     )

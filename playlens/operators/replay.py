@@ -11,6 +11,8 @@ from playlens.operators.ordered import OrderedRows, lag_struct, r_count, r_last,
 from playlens.operators.sessions import US, ordered_plays
 
 IDLE_SEC = 600
+#: A play that passes this many seconds has settled: it clears the previous-skip flag.
+SETTLED_SEC = 45.0
 
 
 def session_clock(rows: OrderedRows, duration: Column, idle_sec: int = IDLE_SEC) -> OrderedRows:
@@ -181,7 +183,7 @@ def session_mood(progress: DataFrame) -> DataFrame:
     spans = {"_w3": 180 * US + 1, "_w15": 900 * US + 1}
     rows = time_lookback(rows, "t_us", "event_id", "was_skipped", spans, "_strict", "_s")
     # the flag's last writer: a change sets it to that play's outcome, settling past 45 s clears it
-    writes = F.when(F.col("is_track_change") == 1, flag).when(F.col("progress_sec") >= 45.0, F.lit(0))
+    writes = F.when(F.col("is_track_change") == 1, flag).when(F.col("progress_sec") >= SETTLED_SEC, F.lit(0))
     rows = rows.running(
         {
             "_skip_us": r_max(F.when(flag == 1, F.col("t_us")), inclusive=True),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators import audit
-from playlens.plans.audit_queries import INFERRED, MOOD, RESOLVED, STATE, metrics_sql
+from playlens.plans.audit_queries import INFERRED, JOINED, LOOKUPS, MOOD, RESOLVED, STATE, STATE_SELECT, lookups, metrics_sql, state_columns
 from playlens.plans.oracle import rnd, with_views
 from playlens.plans.registry import add
 from playlens.session import scratch_path
@@ -149,61 +149,72 @@ add(
     metrics_sql("audit", "audit"),
 )
 
-# --- keyed state --------------------------------------------------------------------------------------
-def stateful_rows(t, stream, label):
-    run.use_rocksdb(t.spark)
-    return run.collect_stream(stream, label).drop(run.BATCH)
+# --- state per listener -------------------------------------------------------------------------------
+def delivered(t, frame, time, job, deliveries=3):
+    """``frame`` arrives in several deliveries by time, each drained by the job from one checkpoint; then the job is closed."""
+    source, checkpoint = scratch_path(t.spark, "deliveries"), scratch_path(t.spark, "deliveries-checkpoint")
+    at = X.micros(time)
+    lo, hi = frame.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.floor((at - lo) * deliveries / (hi - lo + 1)), F.lit(deliveries - 1))
+    for i in range(deliveries):
+        frame.where(part == i).write.mode("append").parquet(source)
+        run.drain(run.read_stream(t.spark, source, frame.schema), source, checkpoint, sink=job)
+    job.close(frame.schema)
+    return job.result()
 
 
-def mark(view, column):
-    """Rows handled by the end: strictly before the final watermark, at millisecond precision."""
-    return f"SELECT epoch_ms(max({column})) - 600000 AS ms FROM {view}"
+def state_path(t, label):
+    return scratch_path(t.spark, f"state-{label}")
 
 
 SINCE = rnd("since", 6)
+
+
+def replay_stream(t):
+    recent = t.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name")
+    job = stateful.session_replay(t.spark, state_path(t, "replay"), *lookups(t))
+    return delivered(t, recent, "played_at", job).select(*state_columns(), "actual_played_sec")
+
+
 add(
     "stream_session_replay",
-    lambda t: stateful_rows(t, stateful.stream_session_replay(streamed(t).recent_plays), "replay").withColumn(
-        "seconds_since_last_skip", X.round_even("seconds_since_last_skip", 6)
-    ),
-    with_views(
-        "recent_plays",
-        f"SELECT user_id, event_id, sk AS actual_skipped, s3 AS skips_last_3m, s15 AS skips_last_15m, {SINCE} AS seconds_since_last_skip, "
-        "prev AS previous_song_skipped, streak AS consecutive_listens_streak, CAST(idle = 1 OR streak = 0 AS INTEGER) AS is_session_start "
-        "FROM z, wm WHERE t // 1000 < ms",
-        **INFERRED, **STATE, wm=mark("recent_plays", "played_at"),
-    ),
+    replay_stream,
+    with_views("recent_plays", f"SELECT {STATE_SELECT}, x.played AS actual_played_sec FROM z x {JOINED}", **LOOKUPS, **INFERRED, **STATE),
 )
+
+
+def resolve_stream(t):
+    events = stateful.prediction_events(t.predictions, t.outcomes)
+    return delivered(t, events, "made_at", stateful.resolve(t.spark, state_path(t, "resolve")))
+
+
 add(
     "stream_resolve_outcomes",
-    lambda t: stateful_rows(t, stateful.stream_resolve(streamed(t).predictions, streamed(t).outcomes), "resolve"),
+    lambda t: resolve_stream(t).select(
+        "user_id", "event_id", "song_name", "artist_name", "predicted_prob", "predicted_skip", "risk_tier", "actual_played_sec", "actual_skipped", "evaluation_result", "cdn_mb_saved"
+    ),
     with_views(
         "predictions outcomes",
         "SELECT user_id, outcome_id AS event_id, song_name, artist_name, predicted_prob, predicted_skip, risk_tier, actual_played_sec, actual_skipped, "
-        "evaluation_result, cdn_mb_saved FROM gr, wm WHERE epoch_ms(resolved_at) < ms",
-        **RESOLVED, wm="SELECT epoch_ms(max(ts)) - 600000 AS ms FROM events",
+        "evaluation_result, cdn_mb_saved FROM gr",
+        **RESOLVED,
     ),
 )
 add(
     "stream_mood",
-    lambda t: stateful_rows(t, stateful.stream_mood(streamed(t).progress), "mood").withColumn(
+    lambda t: delivered(t, t.progress, "poll_ts", stateful.mood(t.spark, state_path(t, "mood"))).withColumn(
         "seconds_since_last_skip", X.round_even("seconds_since_last_skip", 6)
     ),
     with_views(
         "progress",
         f"SELECT user_id, event_id, s3 AS skips_last_3m, s15 AS skips_last_15m, {SINCE} AS seconds_since_last_skip, "
         "CASE WHEN s3 >= 2 AND progress_sec < 45 THEN 'SKIP_SPREE' WHEN (s3 >= 1 OR since < 45) AND progress_sec < 60 THEN 'RESTLESS' "
-        "ELSE 'CALM_FLOW' END AS mood, coalesce(flag, 0) AS previous_song_skipped FROM g LEFT JOIN w USING (user_id, event_id), wm WHERE t // 1000 < ms",
-        **MOOD, wm="SELECT epoch_ms(max(poll_ts)) - 600000 AS ms FROM progress WHERE status = 'ACTIVE'",
+        "ELSE 'CALM_FLOW' END AS mood, coalesce(flag, 0) AS previous_song_skipped FROM g LEFT JOIN w USING (user_id, event_id)",
+        **MOOD,
     ),
 )
 add(
     "stream_resolved_metrics",
-    lambda t: audit.audit_metrics(
-        stateful_rows(t, stateful.stream_resolve(streamed(t).predictions, streamed(t).outcomes), "resolved").withColumn(
-            "status", F.lit("RESOLVED")
-        )
-    ),
-    metrics_sql("closed", "predictions outcomes", **RESOLVED, wm="SELECT epoch_ms(max(ts)) - 600000 AS ms FROM events",
-                closed="SELECT gr.* FROM gr, wm WHERE epoch_ms(resolved_at) < ms"),
+    lambda t: audit.audit_metrics(resolve_stream(t)),
+    metrics_sql("gr", "predictions outcomes", **RESOLVED),
 )

@@ -7,16 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from playlens.operators.enrich import new_events
 from playlens.session import scratch_path
 
 BATCH = "batch_id"
 DAY = "day"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed state with timers needs the RocksDB store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 def read_stream(spark: SparkSession, directory: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -42,9 +37,8 @@ def append_once(path: str, keys: list[str], time: str):
         fresh = df.dropDuplicates(keys).withColumn(DAY, F.to_date(time))
         span = fresh.agg(F.min(DAY).alias("lo"), F.max(DAY).alias("hi")).first()
         try:
-            stored = df.sparkSession.read.parquet(path).where(F.col(DAY).between(span["lo"], span["hi"]))
-            stored = stored.where(F.col(BATCH) != batch_id).select(*keys)
-            fresh = fresh.join(stored, keys, "left_anti")
+            stored = df.sparkSession.read.parquet(path).where(F.col(DAY).between(span["lo"], span["hi"]) | F.col(DAY).isNull())
+            fresh = new_events(fresh, stored.where(F.col(BATCH) != batch_id), keys)
         except AnalysisException as empty:
             if empty.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise

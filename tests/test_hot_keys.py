@@ -33,6 +33,36 @@ def test_hot_equals_cold(tables, hot, job):
     assert rows(JOBS[job](tables)) == plain
 
 
+class Nulled:
+    """The canonical tables with half of the users null: the largest key of all."""
+
+    def __init__(self, tables):
+        self.tables = tables
+
+    def __getattr__(self, name):
+        frame = getattr(self.tables, name)
+        return frame.withColumn("user_id", F.when(F.col("user_id") % 2 == 0, F.col("user_id")))
+
+
+@pytest.mark.parametrize("job", ["feature_matrix", "sessionize", "silent_gaps", "replay", "mood", "resolve"])
+def test_hot_null_key_loses_no_row(tables, hot, job):
+    some = Nulled(tables)
+    hot(10_000_000)
+    plain = rows(JOBS[job](some))
+    hot(3 if job == "resolve" else 75)
+    assert rows(JOBS[job](some)) == plain
+
+
+def test_appended_rows_make_a_key_hot(spark, tmp_path):
+    from playlens.operators.ordered import hot_keys
+
+    path = str(tmp_path / "grown")
+    spark.range(50).selectExpr("1L AS user_id", "id").write.parquet(path)
+    assert hot_keys(spark.read.parquet(path), ["user_id"], 75) == []
+    spark.range(1000).selectExpr("1L AS user_id", "id").write.mode("append").parquet(path)
+    assert hot_keys(spark.read.parquet(path), ["user_id"], 75) == [(1, 1050)]
+
+
 def test_split_is_used_and_balanced(spark, hot):
     _, plays = tie_heavy(spark)
     ordered = OrderedRows.by(plays.withColumn("t_us", F.unix_micros("time_stamp")), ["user_id"], ["t_us", "event_id"], 100)

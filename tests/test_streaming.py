@@ -8,28 +8,60 @@ from playlens.operators import replay
 from playlens.session import scratch_path
 from playlens.streaming import ingest, run, stateful, windows
 
-COLUMNS = ["user_id", "event_id", "actual_skipped", "skips_last_3m", "skips_last_15m", "seconds_since_last_skip",
-           "previous_song_skipped", "consecutive_listens_streak", "is_session_start"]
+def deliver(spark, frame, time, job, parts=4):
+    """In several deliveries by time; every batch is handed to the job twice, as after a lost driver."""
+    source, checkpoint = (scratch_path(spark, n) for n in ("src", "chk"))
+    t = F.unix_micros(time)
+    lo, hi = frame.agg(F.min(t), F.max(t)).first()
 
+    def twice(df, batch_id):
+        job(df, batch_id)
+        job(df, batch_id)
 
-def test_session_replay_over_three_deliveries(spark, tables):
-    run.use_rocksdb(spark)
+    for i in range(parts):
+        step = (hi - lo) // parts + 1
+        frame.where((t >= lo + i * step) & (t < lo + (i + 1) * step)).write.mode("append").parquet(source)
+        run.drain(run.read_stream(spark, source, frame.schema), source, checkpoint, sink=twice)
+    job.close(frame.schema)
+    return job.result()
+
+
+def same(a, b):
+    columns = a.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*columns).collect()))
+    assert a.count() > 700
+
+
+def nulled(df):
+    return df.withColumn("user_id", F.when(F.col("user_id") % 2 == 0, F.col("user_id")))
+
+
+def test_session_replay_over_several_deliveries(spark, tables):
+    recent = nulled(tables.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name"))
+    empty = spark.createDataFrame([], "lookup_key string, rate double")
+    got = deliver(spark, recent, "played_at", stateful.session_replay(spark, scratch_path(spark, "replay"), empty, empty, 60))
+    same(got, replay.session_replay_features(recent, empty, empty))
+
+
+def test_mood_over_several_deliveries(spark, tables):
+    progress = nulled(tables.progress)
+    same(deliver(spark, progress, "poll_ts", stateful.mood(spark, scratch_path(spark, "mood"), 60)), replay.session_mood(progress))
+
+
+def test_late_rows_are_ignored_and_open_rows_stay_few(spark, tables):
     recent = tables.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name")
-    source, out, checkpoint = (scratch_path(spark, n) for n in ("src", "out", "chk"))
-    lo, hi = recent.agg(F.min(F.unix_micros("played_at")), F.max(F.unix_micros("played_at"))).first()
-    edges = [lo + (hi - lo) * i // 3 for i in range(4)]
-    t = F.unix_micros("played_at")
-    for i in range(3):
-        part = recent.where((t >= edges[i]) & ((t < edges[i + 1]) if i < 2 else F.lit(True)))
-        part.write.mode("append").parquet(source)
-        stream = run.read_stream(spark, source, recent.schema)
-        run.drain(stateful.stream_session_replay(stream, "1 minute"), out, checkpoint)
-    mark = hi // 1000 - 60_000
     empty = spark.createDataFrame([], "lookup_key string, rate double")
-    batch = replay.session_replay_features(recent, empty, empty).where(F.floor(F.col("t_us") / 1000) < mark)
-    got = sorted(map(tuple, spark.read.parquet(out).select(*COLUMNS).collect()))
-    assert got == sorted(map(tuple, batch.select(*COLUMNS).collect()))
-    assert len(got) > 900
+    path = scratch_path(spark, "late-replay")
+    job = stateful.session_replay(spark, path, empty, empty, 0)
+    cut = recent.agg(F.median("event_id")).first()[0]
+    first, second = recent.where(F.col("event_id") <= cut), recent.where(F.col("event_id") > cut)
+    job(first, 0)
+    newest = first.agg(F.max("played_at")).first()[0]
+    again = first.where(F.col("played_at") < F.lit(newest)).limit(5)
+    job(second.unionAll(again), 1)
+    job.close(recent.schema)
+    assert job.result().count() == first.count() + second.where(F.col("played_at") >= F.lit(newest)).count()
+    assert spark.read.parquet(f"{path}/open/1").count() < recent.count() / 2
 
 
 def polls(spark, *plays):
