@@ -111,9 +111,17 @@ def _emit_runs(width: int, digit: int):
                 first, n, g = runs(data, starts, sizes, width, digit)
                 which = np.searchsorted(starts, first, side="right") - 1
                 c = np.array([xxhash.xxh3_64_intdigest(data[f : f + k + width - 1]) for f, k in zip(first.tolist(), n.tolist())], np.uint64)
-                take = pa.array(rows[which])
+                # a text that repeats itself has thousands of equal runs: one row for all equal ones of a document
+                order = np.lexsort((first, c, g, which))
+                first, n, g, c, which = first[order], n[order], g[order], c[order], which[order]
+                head = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (g[1:] != g[:-1]) | (c[1:] != c[:-1])]) if len(first) else order
+                places = pa.array((first - starts[which] + at[which]).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(take), th.take(take), pa.array((first - starts[which] + at[which]).astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(g.view(np.int64)), pa.array(c.view(np.int64))],
+                    [
+                        *(x.take(pa.array(rows[which[head]])) for x in (ids, th)),
+                        pa.ListArray.from_arrays(pa.array(np.r_[head, len(first)].astype(np.int32)), places),
+                        pa.array(n[head].astype(np.int32)), pa.array(g[head].view(np.int64)), pa.array(c[head].view(np.int64)),
+                    ],
                     names=["id", "th", "a", "n", "g", "c"],
                 )
 
@@ -239,12 +247,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     own_id, t = F.col(doc_id).cast("long"), F.col(text).cast("string")
     whole = docs.select(own_id.alias("id"), F.xxhash64(t).alias("th"), t.alias("t"))
-    every = checkpointed(whole.mapInArrow(_emit_runs(width, digit), "id long, th long, a long, n int, g long, c long"), "runs")
-    groups = every.groupBy("g").agg(F.count(F.lit(1)).alias("k"), (F.min("c") != F.max("c")).alias("mixed")).where("k > 1").select("g", "mixed")
+    every = checkpointed(whole.mapInArrow(_emit_runs(width, digit), "id long, th long, a array<long>, n int, g long, c long"), "runs")
+    many = F.sum(F.size("a"))
+    groups = every.groupBy("g").agg(many.alias("k"), (F.min("c") != F.max("c")).alias("mixed")).where("k > 1").select("g", "mixed")
     some = checkpointed(every.join(checkpointed(groups, "digits"), "g"), "shared-runs")
-    counts = some.groupBy("g", "c").agg(F.count(F.lit(1)).alias("k"), F.max("mixed").alias("mixed"), F.min(F.struct("id", "th", "a", "n")).alias("one"))
+    counts = some.groupBy("g", "c").agg(many.alias("k"), F.max("mixed").alias("mixed"), F.min(F.struct("id", "th", F.get("a", F.lit(0)).alias("a"), "n")).alias("one"))
     counts = checkpointed(counts, "contents")
-    equal = some.join(counts.where("k > 1").select("g", "c"), ["g", "c"]).select("id", "th", F.col("a").alias("s"), (F.col("a") + F.col("n") + (width - 1)).alias("e"))
+    twice = checkpointed(counts.where("k > 1").select("g", "c"), "equal-runs")
+    equal = some.join(twice, ["g", "c"]).select("id", "th", F.explode("a").alias("s"), "n").select("id", "th", "s", (F.col("s") + F.col("n") + (width - 1)).alias("e"))
     mixed = counts.where("mixed")
     hot = mixed.groupBy("g").agg((F.count(F.lit(1)) > group).alias("hot"))
     asked = mixed.join(checkpointed(hot, "large-digits"), "g").select("one.id", "one.th", F.struct("one.a", "one.n", "g", "hot", (F.col("k") == 1).alias("own")).alias("r"))
