@@ -161,6 +161,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lea
     )
     rows = checkpointed(rows, "suspects")
     bad = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).where(F.col("n") >= least_docs).select("k", "last")
+    bad = checkpointed(bad, "repeats")  # read as a table of its own, its join may split a hot key
     lost = rows.join(bad, "k").where(~F.col("id").eqNullSafe(F.col("last")))
     # repeated rows lose the same lines: the set is the same
     lost = lost.groupBy("id", "th").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("__lost")).select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__lost")
