@@ -192,6 +192,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     linked = roots.join(nodes, "f").groupBy("root").agg(F.min("least").alias("component_id"))
     named = roots.join(linked, "root").select("f", "component_id")
     ids = nodes.join(named, "f", "left").select("f", F.coalesce("component_id", "least").alias("component_id"))
+    ids = checkpointed(ids, "components")  # a table of its own: the join may split a fingerprint with very many copies
     return prints.join(ids, "f").select("doc_id", "th", "f", "component_id")
 
 
