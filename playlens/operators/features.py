@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -70,6 +72,16 @@ def target_encode(plays: DataFrame, name: str, weight: int = SMOOTHING) -> DataF
     return out.rows(["user_id", "event_id", f"{name}_past_plays", f"{name}_past_skips", f"{name}_smoothed_skip_rate"])
 
 
+def target_rates(plays: DataFrame, names: Sequence[str], columns: Sequence[str], weight: int = SMOOTHING) -> DataFrame:
+    """``columns`` of the plays and the smoothed skip rates of several entities, over one exchange and without a join."""
+    rows = ordered_plays(labelled(plays), sized_by=plays).running_many(
+        [((), {"past_plays": r_count(), "past_skips": r_sum(F.col("is_skip"))}), *entity_history(list(names))]
+    )
+    prior = prior_rate(F.col("past_skips"), F.col("past_plays"))
+    out = rows.with_columns({f"{n}_smoothed_skip_rate": entity_rate(n, prior, weight) for n in names})
+    return out.rows([*columns, *[f"{n}_smoothed_skip_rate" for n in names]])
+
+
 def target_encode_static(plays: DataFrame, name: str, weight: int = SMOOTHING) -> DataFrame:
     """The variant whose prior is the whole table's mean (it sees the future; kept as an option)."""
     base = labelled(plays)

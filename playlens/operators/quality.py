@@ -5,35 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_INT_RANGES = [("tinyint", 1 << 7), ("smallint", 1 << 15), ("int", 1 << 31), ("bigint", 1 << 63)]
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+_INT_RANGES = [("tinyint", 1 << 7), ("smallint", 1 << 15), ("int", 1 << 31)]
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+_NUMERIC = (*_WHOLE, "float", "double")
 
 
 def compaction_plan(df: DataFrame) -> DataFrame:
-    """One row per numeric column: range, nulls, fractions and the narrowest lossless type.
-    A single aggregate over the table; the unpivot runs on its one row."""
-    numeric = [n for n, t in df.dtypes if t in _NUMERIC]
+    """One row per numeric column: range, nulls, fractions and the narrowest lossless type. Whole numbers are compared as such,
+    so the ends of bigint are exact. A single aggregate over the table; the unpivot runs on its one row."""
     entries = []
-    for name in numeric:
-        c = F.col(name).cast("double")
+    for name, kind in df.dtypes:
+        if kind not in _NUMERIC:
+            continue
+        c, low, high = F.col(name).cast("double"), F.min(name), F.max(name)
+        fits = F.when(F.lit(False), F.lit(""))
+        for type_name, bound in _INT_RANGES:
+            fits = fits.when((low >= -bound) & (high < bound), F.lit(type_name))
+        wide = F.lit("bigint") if kind in _WHOLE else F.when((low >= -float(1 << 63)) & (high < float(1 << 63)), F.lit("bigint")).otherwise(F.lit("double"))
+        fractional = F.count_if(c != F.floor(c)) if kind not in _WHOLE else F.lit(0).cast("bigint")
         entries.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.min(c).alias("min_value"),
-                F.max(c).alias("max_value"),
+                low.cast("double").alias("min_value"),
+                high.cast("double").alias("max_value"),
                 F.count_if(F.col(name).isNull()).alias("nulls"),
-                F.count_if(c != F.floor(c)).alias("fractional"),
+                fractional.alias("fractional"),
+                F.when((fractional > 0) | low.isNull(), F.lit("double")).otherwise(fits.otherwise(wide)).alias("target_type"),
             )
         )
-    stats = df.agg(F.array(*entries).alias("s")).select(F.inline("s"))
-    narrow = None
-    for type_name, bound in _INT_RANGES:
-        fits = (F.col("min_value") >= -float(bound)) & (F.col("max_value") < float(bound))
-        narrow = (F.when if narrow is None else narrow.when)(fits, F.lit(type_name))
-    return stats.withColumn(
-        "target_type",
-        F.when((F.col("fractional") > 0) | F.col("min_value").isNull(), F.lit("double")).otherwise(narrow),
-    )
+    return df.agg(F.array(*entries).alias("s")).select(F.inline("s"))
 
 
 def compact(df: DataFrame) -> DataFrame:

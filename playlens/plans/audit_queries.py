@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators import audit, replay
-from playlens.plans.enrich_queries import JOINED, LOOKUPS, lookups
+from playlens.plans.enrich_queries import JOINED, LOOKUPS, lookups, with_new_names
 from playlens.plans.oracle import rnd, with_views
 from playlens.plans.registry import add
 
@@ -48,6 +48,12 @@ STATE_SELECT = (
     "CAST(al.lookup_key IS NULL AS INTEGER) AS is_cold_start_artist, "
     + rnd("coalesce(sl.rate, al.rate, 0.104)", 6)
     + " AS song_smoothed_skip_rate, "
+    + ", ".join(f"{rnd('coalesce(al.rate, 0.104)', 6)} AS {n}_smoothed_skip_rate" for n in ("artist", "genre", "album"))
+    + ", "
+    + rnd("sin(2 * pi() * hour(make_timestamp(x.st)) / 24)", 6)
+    + " AS hour_sin, "
+    + rnd("cos(2 * pi() * hour(make_timestamp(x.st)) / 24)", 6)
+    + " AS hour_cos, 0 AS platform_android, 1 AS platform_windows, 0 AS shuffle_mode, "
     "CAST(CASE WHEN x.prev = 1 THEN 0.604 ELSE 0.025 END AS DOUBLE) AS reason_start_smoothed_skip_rate, x.sk AS actual_skipped"
 )
 
@@ -57,7 +63,8 @@ def state_columns():
         X.round_even("seconds_since_last_skip", 6).alias("seconds_since_last_skip"),
         "previous_song_skipped", "consecutive_listens_streak", "reason_start", "is_session_start", "hour_of_day",
         "day_of_week", "is_cold_start_artist", X.round_even("song_smoothed_skip_rate", 6).alias("song_smoothed_skip_rate"),
-        "reason_start_smoothed_skip_rate", "actual_skipped",
+        *[X.round_even(c, 6).alias(c) for c in ("artist_smoothed_skip_rate", "genre_smoothed_skip_rate", "album_smoothed_skip_rate", "hour_sin", "hour_cos")],
+        "platform_android", "platform_windows", "shuffle_mode", "reason_start_smoothed_skip_rate", "actual_skipped",
     ]
 
 
@@ -72,7 +79,7 @@ add(
 )
 add(
     "session_replay_features",
-    lambda t: replay.session_replay_features(t.recent_plays, *lookups(t)).select(*state_columns()),
+    lambda t: replay.session_replay_features(with_new_names(t.recent_plays), *lookups(t)).select(*state_columns()),
     with_views("recent_plays", f"SELECT {STATE_SELECT} FROM z x {JOINED}", **LOOKUPS, **INFERRED, **STATE),
 )
 
@@ -96,7 +103,7 @@ AUDIT_LOG = dict(
 )
 add(
     "audit_training_features",
-    lambda t: replay.audit_training_features(audit_log(t), *lookups(t)).select(*state_columns()),
+    lambda t: replay.audit_training_features(with_new_names(audit_log(t)), *lookups(t)).select(*state_columns()),
     with_views("recent_plays", f"SELECT {STATE_SELECT} FROM z x {JOINED}", **LOOKUPS, **AUDIT_LOG, **STATE),
 )
 PROB = "(event_id * 37 % 1000) / 1000"

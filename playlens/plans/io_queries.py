@@ -134,26 +134,39 @@ add(
 
 
 def report(t):
+    """All three sections as written: their titles and how their rows look."""
     directory = scratch_path(t.spark, "report")
     sections = {
         "core rankings": {"top artists": rank.top_entities(t.plays, ["artist_name"]), "top songs": rank.top_entities(t.plays, ["song_name", "artist_name"])},
         "temporal habits": {"volume by month": temporal.volume(t.plays, "month")},
     }
-    sinks.report_sections(sections, directory, 10)
-    return t.spark.read.schema("artist_name STRING, play_counts BIGINT, total_sec_played BIGINT, total_time STRING").json(f"{directory}/core_rankings/top_artists")
+    sinks.report_sections(sections, directory)
+
+    def table(path, schema, name):
+        rows = t.spark.read.schema(schema).json(f"{directory}/{path}")
+        return rows.select(F.lit(path).alias("path"), F.expr(name).alias("name"), "play_counts")
+
+    artists = table("core_rankings/top_artists", "artist_name STRING, play_counts BIGINT", "artist_name")
+    songs = table("core_rankings/top_songs", "song_name STRING, artist_name STRING, play_counts BIGINT", "song_name || '::' || artist_name")
+    months = table("temporal_habits/volume_by_month", "period DATE, plays BIGINT", "cast(period AS string)", "plays")
+    return artists.unionByName(songs).unionByName(months)
 
 
 add(
     "sink_report_sections",
     report,
-    with_views("plays", f"SELECT *, {duration('total_sec_played')} AS total_time FROM (SELECT artist_name, {AGG} FROM plays GROUP BY 1 "
-               "ORDER BY play_counts DESC, artist_name LIMIT 10)"),
+    with_views(
+        "plays",
+        f"SELECT 'core_rankings/top_artists' AS path, artist_name AS name, play_counts AS plays FROM (SELECT artist_name, {AGG} FROM plays GROUP BY 1 ORDER BY play_counts DESC, 1 LIMIT 10) "
+        f"UNION ALL SELECT 'core_rankings/top_songs', song_name || '::' || artist_name, play_counts FROM (SELECT song_name, artist_name, {AGG} FROM plays GROUP BY 1, 2 ORDER BY play_counts DESC, 1, 2 LIMIT 10) "
+        "UNION ALL SELECT 'temporal_habits/volume_by_month', CAST(CAST(date_trunc('month', time_stamp) AS DATE) AS VARCHAR), count(song_name) FROM plays GROUP BY 2",
+    ),
 )
 
 
 def snapshot(t):
     path = scratch_path(t.spark, "lookup")
-    sinks.lookup_snapshot(rated_features(t).withColumn("song_smoothed_skip_rate", F.col("artist_smoothed_skip_rate")), path)
+    sinks.lookup_snapshot(rated_features(t), path)
     kinds = [t.spark.read.parquet(f"{path}/{k}").withColumn("kind", F.lit(k)) for k in ("artist", "song")]
     return kinds[0].unionByName(kinds[1]).select("kind", "lookup_key", X.round_even("rate", 6).alias("rate"))
 
@@ -162,7 +175,7 @@ add(
     "sink_lookup_snapshot",
     snapshot,
     with_views("plays", f"SELECT 'artist' AS kind, lookup_key, {rnd('rate', 6)} AS rate FROM al UNION ALL SELECT 'song', lookup_key, {rnd('rate', 6)} FROM sl",
-               **RATED, **lookup_ctes("artist_name", "al"), **lookup_ctes("song_name", "sl")),
+               **RATED, **lookup_ctes("artist_name", "al"), **lookup_ctes("song_name", "sl", "song_rate")),
 )
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from playlens.functions import exprs as X
 from playlens.operators import audit
 from playlens.plans.audit_queries import INFERRED, JOINED, LOOKUPS, MOOD, RESOLVED, STATE, STATE_SELECT, lookups, metrics_sql, state_columns
+from playlens.plans.enrich_queries import with_new_names
 from playlens.plans.oracle import rnd, with_views
 from playlens.plans.registry import add
 from playlens.session import scratch_path
@@ -171,7 +172,7 @@ SINCE = rnd("since", 6)
 
 
 def replay_stream(t):
-    recent = t.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name")
+    recent = with_new_names(t.recent_plays).select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name")
     job = stateful.session_replay(t.spark, state_path(t, "replay"), *lookups(t))
     return delivered(t, recent, "played_at", job).select(*state_columns(), "actual_played_sec")
 

@@ -11,6 +11,10 @@ from playlens.operators.enrich import latest_rates, new_events
 from playlens.session import materialize
 
 
+#: Rows of a table that the Markdown of a report shows.
+SHOWN = 1000
+
+
 def overwrite_table(df: DataFrame, path: str, partition: str | None = "year") -> None:
     """Replace the table at ``path``. Rows stay in the tasks they are in, so a year that holds most rows
     is written by many tasks, and files are bounded in rows."""
@@ -42,18 +46,22 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def report_sections(sections: dict[str, dict[str, DataFrame]], directory: str, top_n: int = 10) -> str:
-    """Write each table, cut to ``top_n``, as JSON under its section, and return a Markdown index.
-    Only the cut rows reach the driver."""
+def report_sections(sections: dict[str, dict[str, DataFrame]], directory: str, top_n: int | None = None) -> str:
+    """Write each table as JSON under its section, and return a Markdown index of them.
+
+    Each table is whole unless ``top_n`` asks for its first rows; a frame that is cut must come sorted. The Markdown is made
+    from the written rows, so that both agree; it shows at most ``SHOWN`` rows of a table and says how many there are."""
     lines = ["# Listening report", ""]
     for section, tables in sections.items():
         lines += [f"## {section}", ""]
         for title, df in tables.items():
-            top = df.limit(top_n)
-            top.write.mode("overwrite").json(f"{directory}/{section}/{title}".replace(" ", "_").lower())
-            rows = top.collect()
+            path = f"{directory}/{section}/{title}".replace(" ", "_").lower()
+            (df if top_n is None else df.limit(top_n)).write.mode("overwrite").json(path)
+            written = df.sparkSession.read.schema(df.schema).json(path)
+            rows, total = written.limit(SHOWN).collect(), written.count()
             lines += [f"### {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-            lines += ["| " + " | ".join(_cell(v) for v in r) + " |" for r in rows] + [""]
+            lines += ["| " + " | ".join(_cell(v) for v in r) + " |" for r in rows]
+            lines += [f"{total} rows" if total > len(rows) else "", ""]
     return "\n".join(lines)
 
 
