@@ -142,9 +142,9 @@ def report(t):
     }
     sinks.report_sections(sections, directory)
 
-    def table(path, schema, name):
+    def table(path, schema, name, count="play_counts"):
         rows = t.spark.read.schema(schema).json(f"{directory}/{path}")
-        return rows.select(F.lit(path).alias("path"), F.expr(name).alias("name"), "play_counts")
+        return rows.select(F.lit(path).alias("path"), F.expr(name).alias("name"), F.col(count).alias("plays"))
 
     artists = table("core_rankings/top_artists", "artist_name STRING, play_counts BIGINT", "artist_name")
     songs = table("core_rankings/top_songs", "song_name STRING, artist_name STRING, play_counts BIGINT", "song_name || '::' || artist_name")
