@@ -94,3 +94,15 @@ def test_negative_request_is_rejected_with_reason(spark):
     ok, bad = quality.split_valid(df, ["song_name"], ["skips_last_3m"])
     assert [r["song_name"] for r in ok.collect()] == ["y"]
     assert {r["song_name"]: r["reasons"] for r in bad.collect()} == {"x": ["negative skips_last_3m"], None: ["missing song_name"]}
+
+
+def test_sql_functions_equal_the_column_rules(spark):
+    from playlens.functions import exprs as X
+    from playlens.functions import sqlfuncs
+
+    assert "format_duration" in sqlfuncs.register(spark)
+    seconds = [0, 59, 60, 3599, 3600, 86399, 86400, 2591999, 2592000, 31103999, 31104000, 99999999]
+    frame = spark.createDataFrame([(s, s % 86400 / 3600.0) for s in seconds + [5 * 3600, 12 * 3600, 17 * 3600, 70200, 43199]], "s bigint, h double")
+    out = frame.selectExpr("*", "format_duration(s) AS a", "daypart_of(h) AS c").withColumn("b", X.duration_text("s")).withColumn("d", X.daypart(frame["h"]))
+    rows = out.collect()
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in rows) and {r["c"] for r in rows} >= {"Morning", "Afternoon", "Evening", "Night", "Midnight"}
