@@ -6,11 +6,12 @@ follows from their order: a newer prediction replaces the pending one, an outcom
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
-from playlens.operators.enrich import new_events
 from playlens.operators.ordered import OrderedRows, r_last, r_sum
 
 KEY = ["user_id", "song_name", "artist_name"]
@@ -118,9 +119,12 @@ def resolved_count(audit: DataFrame) -> DataFrame:
 
 def append_counts(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """(inserted, duplicates) of an idempotent append."""
-    added = new_events(incoming, stored, keys).agg(F.count(F.lit(1)).alias("inserted"))
-    total = incoming.agg(F.count(F.lit(1))).scalar()
-    return added.withColumn("duplicates", total - F.col("inserted"))
+    per_key = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    known = stored.select(*[F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)]).distinct().withColumn("_stored", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{i}")) for i, k in enumerate(keys)])
+    marked = per_key.join(known, same, "left")
+    inserted = F.count_if(F.col("_stored").isNull())
+    return marked.agg(inserted.alias("inserted"), (F.coalesce(F.sum("n"), F.lit(0)) - inserted).alias("duplicates"))
 
 
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
+from playlens.operators.totals import with_total
 
 # --- fixed values: source names and their canonical names, private / non-music columns ------
 CANONICAL = {
@@ -116,9 +117,9 @@ def sentinel_keys(df: DataFrame) -> DataFrame:
 
 def lump_rare(df: DataFrame, column: str, share: float = 0.02) -> DataFrame:
     """Value counts with the values below ``share`` of all rows merged into 'Other'."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    kept = F.when(F.col("n") >= total * share, F.col(column)).otherwise("Other")
+    all_ = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.count(column).alias("_known"))
+    counts = with_total(all_, "n").where("_known > 0")
+    kept = F.when(F.col("n") >= F.col("_total") * share, F.col(column)).otherwise("Other")
     return counts.groupBy(kept.alias(column)).agg(F.sum("n").alias("plays"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playlens.functions import exprs as X
 from playlens.operators import temporal
 from playlens.operators.clean import lump_rare
+from playlens.operators.totals import grand_total, with_total
 
 
 def skip_rate(plays: DataFrame, entity: str, min_plays: int = 15) -> DataFrame:
@@ -41,11 +42,9 @@ def shuffle_weekend_skip(plays: DataFrame) -> DataFrame:
 
 def value_share(plays: DataFrame, column: str, digits: int = 2, label: str | None = None) -> DataFrame:
     """Value counts with their share of all rows, null rows included in the denominator."""
-    out = plays.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(label or column)).agg(
-        F.count(F.lit(1)).alias("plays")
-    )
-    total = plays.agg(F.count(F.lit(1))).scalar()
-    return out.withColumn("percentage", X.percent(F.col("plays"), total, digits))
+    out = plays.groupBy(F.col(column).alias(label or column)).agg(F.count(F.lit(1)).alias("plays"), F.count(column).alias("_known"))
+    known = with_total(out, "plays").where("_known > 0")
+    return known.withColumn("percentage", X.percent(F.col("plays"), F.col("_total"), digits)).drop("_known", "_total")
 
 
 def lifecycle_matrix(plays: DataFrame, ends: list[str]) -> DataFrame:
@@ -70,7 +69,7 @@ def lifecycle_flows(plays: DataFrame, min_share: float = 0.01) -> DataFrame:
     # one pass over the plays: count the few (device, start, end) triples, then split each into two edges
     triples = plays.groupBy(device.alias("a"), start.alias("b"), end.alias("c")).agg(F.count(F.lit(1)).alias("n"))
     both = triples.select("n", F.inline(F.array(edge(F.col("a"), F.col("b")), edge(F.col("b"), F.col("c")))))
-    total = plays.agg(F.count(F.lit(1))).scalar()
+    total = grand_total(triples, "n")
     edges = both.groupBy("source", "target").agg(F.sum("n").alias("plays")).where(F.col("plays") >= total * min_share)
     # each side of the flow sums to the table, so at most 2 / min_share edges are left: one short list
     listed = edges.agg(F.collect_list(F.struct("source", "target", "plays")).alias("e"))
@@ -149,7 +148,7 @@ def skip_cdf(plays: DataFrame) -> DataFrame:
     blocks = per.groupBy("block").agg(F.sum("n").alias("bn"))
     w = Window.partitionBy(F.lit(0)).orderBy("block")  # one row per hour of play length
     before = blocks.select("block", (F.sum("bn").over(w) - F.col("bn")).alias("before"))
-    total = skips.agg(F.count(F.lit(1))).scalar()
+    total = grand_total(per.select("sec_played", "n"), "n")
     inside = F.sum("n").over(Window.partitionBy("block").orderBy("sec_played"))
     out = per.join(before, "block").withColumn("at_most", inside + F.col("before"))
     return out.select("sec_played", F.col("n").alias("skips"), "at_most", X.round_even(F.col("at_most") / total, 6).alias("cdf"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
+from playlens.operators.totals import with_total
 
 TRACK = ["artist_name", "song_name"]
 
@@ -117,8 +118,7 @@ def missing_artists(track_meta: DataFrame, artist_meta: DataFrame) -> DataFrame:
 def genre_coverage(plays: DataFrame) -> DataFrame:
     """Plays per source of their tags, with the share of all plays."""
     out = plays.groupBy("genre_source").agg(F.count(F.lit(1)).alias("plays"))
-    total = plays.agg(F.count(F.lit(1))).scalar()
-    return out.withColumn("share", X.percent(F.col("plays"), total))
+    return with_total(out, "plays").withColumn("share", X.percent(F.col("plays"), F.col("_total"))).drop("_total")
 
 
 # --- rate lookups ---------------------------------------------------------------------------------

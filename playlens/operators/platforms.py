@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators import temporal
+from playlens.operators.totals import with_total
 
 OUTCOMES = ["Completed", "Skipped", "Other"]
 
 
 def platform_share(plays: DataFrame) -> DataFrame:
     out = plays.groupBy(X.platform_token("platform").alias("platform")).agg(
-        F.count("song_name").alias("plays"), F.sum("sec_played").alias("total_seconds")
+        F.count("song_name").alias("plays"), F.sum("sec_played").alias("total_seconds"), F.count(F.lit(1)).alias("_n")
     )
-    total = plays.agg(F.count(F.lit(1))).scalar()
-    return out.withColumns({"hours": X.hours("total_seconds"), "percentage": X.percent(F.col("plays"), total, 1)})
+    share = X.percent(F.col("plays"), F.col("_total"), 1)
+    return with_total(out, "_n").withColumns({"hours": X.hours("total_seconds"), "percentage": share}).drop("_n", "_total")
 
 
 def platform_hours(plays: DataFrame) -> DataFrame:
@@ -46,6 +47,5 @@ def platform_engagement(plays: DataFrame) -> DataFrame:
 def offline_share(plays: DataFrame) -> DataFrame:
     """Denominator: the rows that carry a label."""
     labelled = plays.withColumn("mode", X.offline_label()).where(F.col("mode").isNotNull())
-    out = labelled.groupBy("mode").agg(F.count("song_name").alias("plays"))
-    total = labelled.agg(F.count(F.lit(1))).scalar()
-    return out.withColumn("percentage", X.percent(F.col("plays"), total, 4))
+    out = labelled.groupBy("mode").agg(F.count("song_name").alias("plays"), F.count(F.lit(1)).alias("_n"))
+    return with_total(out, "_n").withColumn("percentage", X.percent(F.col("plays"), F.col("_total"), 4)).drop("_n", "_total")

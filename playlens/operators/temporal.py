@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators import rank
+from playlens.operators.totals import with_total
 
 
 def history_summary(plays: DataFrame) -> DataFrame:
@@ -29,10 +30,10 @@ def volume(plays: DataFrame, period: str) -> DataFrame:
 def volume_by(plays: DataFrame, **bucket: Column) -> DataFrame:
     """Plays, hours and share of all plays per bucket."""
     out = plays.withColumns(bucket).groupBy(*bucket).agg(
-        F.count("song_name").alias("plays"), F.sum("sec_played").alias("total_seconds")
+        F.count("song_name").alias("plays"), F.sum("sec_played").alias("total_seconds"), F.count(F.lit(1)).alias("_n")
     )
-    total = plays.agg(F.count(F.lit(1))).scalar()
-    return out.withColumns({"hours": X.hours("total_seconds"), "share": X.percent(F.col("plays"), total)})
+    share = X.percent(F.col("plays"), F.col("_total"))
+    return with_total(out, "_n").withColumns({"hours": X.hours("total_seconds"), "share": share}).drop("_n", "_total")
 
 
 def volume_daypart(plays: DataFrame) -> DataFrame:
@@ -71,16 +72,13 @@ def row_normalise(wide: DataFrame, columns: list[str], digits: int = 4) -> DataF
     )
 
 
-def date_spine(plays: DataFrame) -> DataFrame:
-    """All calendar days from the first to the last play: one row per day, made from one min/max row."""
-    span = plays.agg(F.to_date(F.min("time_stamp")).alias("lo"), F.to_date(F.max("time_stamp")).alias("hi"))
-    return span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-
-
 def daily_seconds(plays: DataFrame) -> DataFrame:
-    """Seconds per day on the full spine, 0 where nothing was played."""
-    active = plays.groupBy(F.to_date("time_stamp").alias("day")).agg(F.sum("sec_played").alias("seconds"))
-    return date_spine(plays).join(active, "day", "left").withColumn("seconds", F.coalesce("seconds", F.lit(0)))
+    """Seconds per day from the first to the last play, 0 where nothing was played. Each active day is followed by the
+    idle days up to the next one, so the plays are read once; the window has one row per calendar day."""
+    active = plays.where(F.col("time_stamp").isNotNull()).groupBy(F.to_date("time_stamp").alias("at")).agg(F.sum("sec_played").alias("sum"))
+    until = F.coalesce(F.date_sub(F.lead("at").over(Window.partitionBy(F.lit(0)).orderBy("at")), 1), F.col("at"))
+    days = active.withColumn("until", until).select("at", "sum", F.explode(F.sequence("at", "until")).alias("day"))
+    return days.select("day", F.coalesce(F.when(F.col("day") == F.col("at"), F.col("sum")), F.lit(0)).alias("seconds"))
 
 
 def trailing_mean(df: DataFrame, value: str, order: str, n: int) -> Column:

@@ -49,6 +49,21 @@ def test_one_large_key_is_split(spark, hot, name):
     assert re.search(r"Window [^\n]*_chunk", text)
 
 
+SHARES = "reason_start_share lifecycle_flows platform_share offline_share country_share skip_cdf genre_coverage rare_value_lumping".split()
+
+
+@pytest.mark.parametrize("name", [n for n in SHARES if n in registry.QUERIES])
+def test_totals_reuse_the_shuffle_of_the_counts(spark, name):
+    df = registry.QUERIES[name](spark, SMALL)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+def test_calendar_and_append_counts_read_once(spark):
+    for name, scans in (("date_spine_left_join", 1), ("daily_usage_trend", 1)):
+        assert plan(registry.QUERIES[name](spark, SMALL)).count("FileScan parquet [o_") == scans
+
+
 def test_per_period_cut_limits_before_the_shuffle(tables):
     text = plan(rank.top_per_period(tables.plays_long, ["artist_name"], "year", n=3))
     assert "WindowGroupLimit" in text and text.rindex("Partial") > text.index("Exchange")
