@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -57,6 +58,11 @@ def score(model: PipelineModel, df: DataFrame, name: str, keep=("user_id", "even
     return scored.select(*keep, F.col("is_skip").alias("label"), F.lit(name).alias("model"), prob.alias("score"))
 
 
+def scorer(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``prob`` to feature rows, as the queue forecast asks for."""
+    return lambda rows: model.transform(rows).withColumn("prob", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+
+
 def importances(model: PipelineModel, features=tuple(FEATURE_COLUMNS)) -> DataFrame:
     """Feature importances: as many rows as features, sorted."""
     spark = SparkSession.active()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators.ordered import OrderedRows, r_count
+from playlens.session import materialize
 
 
 def by_year(df: DataFrame, first: int, last_train: int, ts: str = "time_stamp") -> DataFrame:
@@ -37,8 +38,8 @@ def nth_in_order(df: DataFrame, target, ts: str = "time_stamp", tie: str = "even
     """The row at position ``target(total)`` (from 1) in (time, id) order over the whole table.
 
     Narrowed down instead of ranking everything: the day that holds it, the second of that day, then the
-    exact order within the second. Each step sends one row to the driver; None when there is no such row."""
-    rows = df.select(X.micros(ts).alias("t_us"), F.col(tie).alias("event_id"))
+    exact order within the second. Time and id are written once, so that the steps don't read the whole table. Each step sends one row to the driver; None when there is no such row."""
+    rows = materialize(df.select(X.micros(ts).alias("t_us"), F.col(tie).alias("event_id")), "order")
     for unit_us in (DAY_US, SECOND_US):
         hit = _locate(rows, unit_us, target)
         if hit is None:

@@ -1,10 +1,12 @@
 """Splits, curves, thresholds, policies, gates, batch decisions and model training."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators import evaluate, features, models, policy, queue, splits
 from playlens.plans.enrich_queries import LOOKUPS, lookups
+from playlens.plans.feature_queries import matrix_sql, skipped_view
 from playlens.plans.oracle import rnd, with_views
 from playlens.plans.registry import add
 
@@ -309,16 +311,16 @@ add(
 # --- queue forecast -----------------------------------------------------------------------------------
 def listener_sessions(t):
     """Each listener's newest play with the state known at it."""
-    f = features.feature_matrix(t.plays).select("user_id", "event_id", "skips_last_3m", "skips_last_15m", "seconds_since_last_skip", "previous_song_skipped")
+    state = ["skips_last_3m", "skips_last_15m", "seconds_since_last_skip", "previous_song_skipped", "consecutive_listens_streak"]
+    f = features.feature_matrix(t.plays).select("user_id", "event_id", *state)
     at = F.struct("time_stamp", "event_id")
     last = t.plays.groupBy("user_id").agg(
-        F.max_by(F.struct("event_id", "song_name", "artist_name", "reason_start"), at).alias("p")
+        F.max_by(F.struct("event_id", "song_name", "artist_name", "reason_start", "platform", "shuffle", F.col("time_stamp").alias("asked_at")), at).alias("p")
     ).select("user_id", "p.*")
     joined = last.join(f, ["user_id", "event_id"])
     return joined.select(
         "user_id", F.col("song_name").alias("current_song"), F.col("artist_name").alias("current_artist"),
-        F.coalesce("reason_start", F.lit("trackdone")).alias("reason_start"), "skips_last_3m", "skips_last_15m",
-        "seconds_since_last_skip", "previous_song_skipped",
+        F.coalesce("reason_start", F.lit("trackdone")).alias("reason_start"), "platform", "shuffle", "asked_at", *state,
     )
 
 
@@ -380,7 +382,37 @@ add(
     ),
 )
 
-# --- training (rows only: tree learners have no SQL form) ------------------------------------------------
+QUEUE = ["user_id", "queue_position", "song_name", "artist_name"]
+ROUNDED = [c for c in features.FEATURE_COLUMNS if c.endswith("_rate") or c in ("hour_sin", "hour_cos", "seconds_since_last_skip")]
+CONTEXT = {
+    "skips_last_3m": "0", "skips_last_15m": "0", "seconds_since_last_skip": "10000.0::DOUBLE", "previous_song_skipped": "0", "consecutive_listens_streak": "0",
+}
+add(
+    "queue_features",
+    lambda t: rounded(queue.queue_features(listener_sessions(t), upcoming(t), *lookups(t)), *ROUNDED).select(*QUEUE, *features.FEATURE_COLUMNS),
+    with_views(
+        "plays",
+        "SELECT user_id, queue_position, song_name, artist_name, ar AS artist_smoothed_skip_rate, sr AS song_smoothed_skip_rate, "
+        f"ar AS genre_smoothed_skip_rate, ar AS album_smoothed_skip_rate, {RISK.format('rs')} AS reason_start_smoothed_skip_rate, cold AS is_cold_start_artist, "
+        + ", ".join(CONTEXT)
+        + ", CAST(contains(lower(platform), 'android') AS INTEGER) AS platform_android, "
+        "CAST(contains(lower(platform), 'win') AND NOT contains(lower(platform), 'android') AS INTEGER) AS platform_windows, shuffle AS shuffle_mode, "
+        "CAST(consecutive_listens_streak = 0 AS INTEGER) AS is_session_start, CAST(hour(asked) AS INTEGER) AS hour_of_day, "
+        f"CAST(isodow(asked) - 1 AS INTEGER) AS day_of_week, {rnd('sin(2 * pi() * hour(asked) / 24)', SIX)} AS hour_sin, {rnd('cos(2 * pi() * hour(asked) / 24)', SIX)} AS hour_cos FROM qr",
+        **FORECAST,
+        fm=matrix_sql("plays"),
+        last="SELECT p.*, p.time_stamp AS asked FROM plays p QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, event_id DESC) = 1",
+        state=f"SELECT l.user_id, l.platform, l.shuffle, l.asked, {', '.join('fm.' + c for c in CONTEXT)} FROM last l JOIN fm ON fm.user_id = l.user_id AND fm.event_id = l.event_id",
+        qx="SELECT x.user_id, x.pos AS queue_position, x.song_name, x.artist_name, x.rs, s.platform, s.shuffle, s.asked, "
+        + ", ".join(f"CASE WHEN x.pos = 0 THEN {default} ELSE s.{c} END AS {c}" for c, default in CONTEXT.items())
+        + " FROM x JOIN state s ON s.user_id = x.user_id",
+        qr=f"SELECT qx.*, CAST(al.lookup_key IS NULL AS INTEGER) AS cold, {rnd('coalesce(al.rate, 0.104)', SIX)} AS ar, "
+        f"{rnd('coalesce(sl.rate, al.rate, 0.104)', SIX)} AS sr FROM qx LEFT JOIN al ON al.lookup_key = lower(trim(artist_name)) LEFT JOIN sl ON sl.lookup_key = lower(trim(song_name))",
+    ),
+)
+
+
+# --- training: tree learners have no SQL form, so the queries return what must hold for any fit ----------------
 SMALL = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.5"}
 
 
@@ -393,31 +425,89 @@ def folds(t):
     return both.where("split = 'train'"), both.where("split = 'test'")
 
 
+def follows(p, threshold):
+    """Does the decision of a row follow from its probability?"""
+    return (F.col("is_skip_predicted") == (p >= threshold).cast("int")) & (F.col("risk_tier") == X.risk_tier_3(p, threshold))
+
+
 def trained(t, fit, name):
+    """One row: the later fold's records and skips, whether all scores are in [0, 1], and whether the fitted rows rank
+    better than chance."""
     train, test = folds(t)
-    return models.model_metrics(models.score(fit(train), test, name), 0.5, "test")
+    model = fit(train)
+    fitted = evaluate.roc_auc(models.score(model, train, name)).select("model", (F.col("roc_auc") > 0.5).alias("fits_training_rows"))
+    scored = models.score(model, test, name).groupBy("model").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("label").cast("bigint").alias("skips"), F.every(F.col("score").between(0, 1)).alias("scores_in_range")
+    )
+    return scored.join(fitted, "model")
+
+
+LATER = dict(b=skipped_view("plays"), later=f"SELECT b.* FROM b JOIN ({RANKED.format('b')}) k USING (event_id) WHERE r > trunc(n * 0.7::DOUBLE)")
+
+
+def trained_sql(name):
+    return with_views("plays", f"SELECT '{name}' AS model, count(*) AS records, CAST(sum(is_skip) AS BIGINT) AS skips, true AS scores_in_range, true AS fits_training_rows FROM later", **LATER)
+
 
+add("train_forest", lambda t: trained(t, lambda d: models.train_forest(d, trees=20, depth=6), "forest"), trained_sql("forest"))
+add("train_boosted", lambda t: trained(t, lambda d: models.train_boosted(d, SMALL), "champion"), trained_sql("champion"))
+add("train_high_recall", lambda t: trained(t, lambda d: models.train_high_recall(d, SMALL), "high_recall"), trained_sql("high_recall"))
 
-add("train_forest", lambda t: trained(t, lambda d: models.train_forest(d, trees=20, depth=6), "forest"))
-add("train_boosted", lambda t: trained(t, lambda d: models.train_boosted(d, SMALL), "champion"))
-add("train_high_recall", lambda t: trained(t, lambda d: models.train_high_recall(d, SMALL), "high_recall"))
-add("feature_importance", lambda t: models.importances(models.train_forest(folds(t)[0], trees=20, depth=6)))
-add("tune_temporal", lambda t: models.tune_temporal(*folds(t), {**{k: [v] for k, v in SMALL.items()}, "maxIter": [4], "maxDepth": [2, 4]}))
+
+def importance_checks(t):
+    found = models.importances(models.train_forest(folds(t)[0], trees=20, depth=6))
+    total = F.sum("importance").over(Window.partitionBy(F.lit(0)))  # one row per feature
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
+
+FEATURE_LIST = ", ".join(f"'{c}'" for c in features.FEATURE_COLUMNS)
+add("feature_importance", importance_checks, f"SELECT unnest([{FEATURE_LIST}]) AS feature, true AS in_range, true AS sums_to_one")
+
+GRID = {**{k: [v] for k, v in SMALL.items()}, "maxIter": [4], "maxDepth": [2, 4]}
+add(
+    "tune_temporal",
+    lambda t: models.tune_temporal(*folds(t), GRID).select(
+        "trial", F.regexp_extract("settings", "'maxDepth': ([0-9]+)", 1).cast("int").alias("depth"),
+        F.col("safe_recall").between(0, 1).alias("recall_in_range"), F.col("threshold").between(0, 1).alias("threshold_in_range"),
+    ),
+    "SELECT unnest([0, 1]) AS trial, unnest([2, 4]) AS depth, true AS recall_in_range, true AS threshold_in_range",
+)
 
 
 def persisted(t):
+    """The later fold scored by the stored pipeline: its scores are those of the fitted one, and decisions follow from them."""
     from playlens.session import scratch_path
 
     train, test = folds(t)
     path = scratch_path(t.spark, "model")
     fitted = models.train_boosted(train, SMALL)
-    best = evaluate.threshold_f1(models.score(fitted, test, "champion")).first()
+    before = models.score(fitted, test, "champion")
+    best = evaluate.threshold_f1(before).first()
     models.save_model(fitted, path, best["threshold"], {"f1": best["f1"]})
     loaded, meta = models.load_model(t.spark, path)
-    scored = models.score(loaded, test, "champion")
-    return evaluate.decide(scored.withColumnRenamed("score", "prob"), meta["threshold"]).select(
-        "user_id", "event_id", "label", "skip_probability", "is_skip_predicted", "risk_tier"
+    decided = evaluate.decide(models.score(loaded, test, "champion").withColumnRenamed("score", "prob"), meta["threshold"])
+    return decided.join(before.select("user_id", "event_id", "score"), ["user_id", "event_id"]).select(
+        "user_id", "event_id", F.col("label").cast("int").alias("label"), (F.abs(F.col("prob") - F.col("score")) < 1e-12).alias("same_score"),
+        follows(F.col("prob"), meta["threshold"]).alias("decision_follows"),
     )
 
 
-add("persist_model", persisted)
+add(
+    "persist_model",
+    persisted,
+    with_views("plays", "SELECT user_id, event_id, CAST(is_skip AS INTEGER) AS label, true AS same_score, true AS decision_follows FROM later", **LATER),
+)
+
+
+def fitted_forecast(t):
+    """The queue scored by a pipeline fitted on the earlier fold."""
+    model = models.train_boosted(folds(t)[0], SMALL)
+    out = queue.queue_forecast(listener_sessions(t), upcoming(t), *lookups(t), models.scorer(model), 0.45)
+    return out.select(*QUEUE, F.col("prob").between(0, 1).alias("prob_in_range"), follows(F.col("prob"), 0.45).alias("decision_follows"))
+
+
+add(
+    "queue_forecast_fitted",
+    fitted_forecast,
+    with_views("plays", "SELECT user_id, pos AS queue_position, song_name, artist_name, true AS prob_in_range, true AS decision_follows FROM x", **FORECAST),
+)
