@@ -22,6 +22,8 @@ artist_streak_days silent_breaks genre_cascade artist_top3_imputation latest_rat
 target_encode_artist target_encode_multitag rolling_skips asof_last_skip feature_matrix feature_matrix_long
 session_replay_features resolve_outcomes audit_metrics session_mood
 pr_curve roc_auc threshold_sweep strategy_compare temporal_split_fraction_70
+lookup_with_fallback queue_forecast reason_start_share genre_coverage sink_report_sections
+stream_dedup stream_session_replay train_boosted
 """.split()
 
 

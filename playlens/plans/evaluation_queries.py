@@ -325,10 +325,10 @@ def listener_sessions(t):
 
 
 def upcoming(t):
-    """A listener's purchased tracks stand for the queue, the five newest first; some have none."""
+    """A listener's purchased tracks stand for the queue, the five newest first; the web player shows no queue."""
     from playlens.operators.rank import topn_per_group
 
-    bought = t.plays.where("reason_end = 'endplay'")
+    bought = t.plays.where("reason_end = 'endplay' and platform <> 'web_player'")
     top = topn_per_group(bought, ["user_id"], "time_stamp", ["event_id"], 5)
     return top.select("user_id", F.col("rank").alias("queue_position"), "song_name", "artist_name")
 
@@ -352,7 +352,7 @@ FORECAST = dict(
     ses="SELECT user_id, song_name, artist_name, coalesce(reason_start, 'trackdone') AS rs, coalesce(prev, 0) AS prev FROM w "
     "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, event_id DESC) = 1",
     q="SELECT user_id, song_name, artist_name, CAST(row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, event_id) AS INTEGER) AS pos "
-    "FROM plays WHERE reason_end = 'endplay' QUALIFY pos <= 5",
+    "FROM plays WHERE reason_end = 'endplay' AND platform <> 'web_player' QUALIFY pos <= 5",
     x="SELECT q.user_id, q.song_name, q.artist_name, q.pos, s.rs, s.prev FROM q JOIN ses s USING (user_id) UNION ALL "
     "SELECT user_id, song_name, artist_name, 0, 'clickrow', 0 FROM ses WHERE user_id NOT IN (SELECT user_id FROM q)",
     fc="SELECT x.*, least(coalesce(al.rate, 0.104) * 0.5::DOUBLE + coalesce(sl.rate, al.rate, 0.104) * 0.5::DOUBLE + "
