@@ -54,7 +54,7 @@ def base_spans(text: str) -> list[Span]:
         at = text.find("@", max(at + 1, end if m else 0))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(n := p.lstrip("0")) < 4 and int(n or 0) <= 255 for p in m[0].split(".")):
                 out.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             if 12 <= len(m[0]) < 40 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):

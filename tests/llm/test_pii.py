@@ -41,6 +41,12 @@ def test_base_equals_the_patterns(text):
     assert pii.base_spans(text) == slow(text)
 
 
+def test_very_long_numbers_in_an_address():
+    zeros = "0" * 6000
+    assert pii.base_spans(f"x {zeros}.1.1.1") == [("ip", 2, 6008)]
+    assert pii.base_spans(f"x {zeros}.1.1.{'7' * 6000}") == []
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet="a.@-+ 012459()\n%é", max_size=50))
 def test_base_of_any_text_equals_the_patterns(text):
