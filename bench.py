@@ -23,7 +23,7 @@ target_encode_artist target_encode_multitag rolling_skips asof_last_skip feature
 session_replay_features resolve_outcomes audit_metrics session_mood
 pr_curve roc_auc threshold_sweep strategy_compare temporal_split_fraction_70
 lookup_with_fallback queue_forecast reason_start_share genre_coverage sink_report_sections
-stream_dedup stream_session_replay train_boosted
+stream_dedup train_boosted
 """.split()
 
 
