@@ -27,12 +27,13 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def low(hits: float, n: float, z: float = 3.0) -> float:
-    """The lower end of the Wilson interval of hits / n."""
-    if not n:
-        return 0.0
-    p = hits / n
-    return (p + z * z / (2 * n) - z * sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+def evidence_for(hits: np.ndarray, others: np.ndarray, base: float) -> np.ndarray:
+    """How surely words are over-represented in toxic texts: the signed root of the likelihood ratio of ``hits`` toxic and ``others`` clean
+    texts against the share ``base``; zero if their share isn't above it. It grows with the number of texts at any base."""
+    n = np.maximum(hits + others, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        parts = [np.where(x > 0, x * np.log(x / (n * share)), 0.0) for x, share in ((hits, base), (others, 1 - base))]
+    return np.where(hits > n * base, np.sqrt(2 * np.maximum(sum(parts), 0.0)), 0.0)
 
 
 class Index:
@@ -108,8 +109,8 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> Index:
     """The index, from at most ``sample`` labelled rows that aren't held out. Equal texts count once (the largest label).
 
-    The vocabulary are the words that speak for toxicity: the lower end of the interval of the share of toxic texts among those
-    with the word is well over the share among all. A word counts in as many toxic texts as it has different neighbours there, so that copies of
+    The vocabulary are the words that speak for toxicity: their ``evidence_for`` it is more than chance gives the best of as many
+    words, whatever the share of toxic texts among all. A word counts in as many toxic texts as it has different neighbours there, so that copies of
     one text do not make its words speak. What comes to the driver is bounded by the sample and ``VOCABULARY``.
     """
     fine = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -121,15 +122,16 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     texts = checkpointed(texts, "examples")
     n, toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     base = (toxic + 1) / (n + 2)
-    per_word = texts.select("y", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hits")).where("hits > 2 and 3 * hits > n")
-    seen = {r["word"]: (r["n"], r["hits"]) for r in per_word.orderBy(F.desc("hits"), "word").limit(16 * VOCABULARY).collect()}
+    per_word = texts.select("y", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hits"))
+    bar = sqrt(2 * log(max(per_word.count(), 2)))  # what the best of so many words that say nothing comes to
+    seen = {r["word"]: (r["n"], r["hits"]) for r in per_word.where(F.col("hits") > F.col("n") * base).orderBy(F.desc(F.col("hits") - F.col("n") * base), "word").limit(16 * VOCABULARY).collect()}
     around = texts.where("y = 1").select(F.explode(F.transform("w", lambda x, i: F.struct(x.alias("word"), F.get("w", i - 1).alias("l"), F.get("w", i + 1).alias("r")))).alias("x")).select("x.*")
     ways = {r["word"]: r["k"] for r in around.where(F.col("word").isin(list(seen))).groupBy("word").agg(F.count_distinct(F.struct("l", "r")).alias("k")).collect()} if seen else {}
     chosen = []
     for w, (all_, hits) in seen.items():
         k = min(hits, ways.get(w, 0))
-        if (share := low(k, k + all_ - hits)) > max(0.35, 2 * base):
-            chosen.append((-share, w, all_))
+        if (speaks := float(evidence_for(np.float64(k), np.float64(all_ - hits), base))) > bar:
+            chosen.append((-speaks, w, all_))
     chosen = sorted(chosen)[:VOCABULARY]
     idf = {w: log((n + 1) / (df + 0.5)) + 0.1 for _, w, df in chosen}
     rows = texts.select("id", "y", F.filter("w", lambda x: x.isin(list(idf)) if idf else F.lit(False)).alias("w")).collect()

@@ -2,6 +2,7 @@ import random
 import zlib
 from math import sqrt
 
+import pytest
 from pyspark.sql import functions as F
 
 from playlens.llm import queries, toxicity
@@ -100,3 +101,31 @@ def test_labels_of_held_out_rows_change_nothing(spark, docs):
     other = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")).cast("int"))
     a, b = ({(r.doc_id, r.score) for r in toxicity.score(frame, x, evidence=None).collect()} for x in (labels, other))
     assert a == b
+
+
+def shared(spark, folder, percent):
+    """Tables of 600 documents, ``percent`` of them toxic by one of six words, and the toxic ids."""
+    rng = random.Random(percent)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(3))
+    toxic = {i for i in range(600) if rng.randrange(100) < percent}
+    texts = []
+    for i in range(600):
+        ws = [word() for _ in range(20)]
+        if i in toxic:
+            ws[rng.randrange(20)] = ws[rng.randrange(20)] = rng.choice(["vile", "scum", "trash", "moron", "loser", "idiot"])
+        texts.append((i, " ".join(ws)))
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, int(i in toxic)) for i in range(600)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return toxic
+
+
+@pytest.mark.parametrize("percent", [50, 80])
+def test_shares_of_a_half_and_more(spark, tmp_path, percent):
+    import corpus_pipeline
+
+    toxic = shared(spark, tmp_path, percent)
+    called = {r.doc_id for r in queries.op5_toxicity(spark, str(tmp_path)).collect() if r.held_out and r.predicted}
+    apart = {i for i in range(600) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert len(called & toxic) >= 0.9 * len(apart & toxic) and len(called - toxic) <= 0.1 * len(apart - toxic)
+    kept = {r.doc_id for r in corpus_pipeline.reject_toxic(spark, queries.documents(spark, str(tmp_path)), str(tmp_path)).collect()}
+    assert len(kept - toxic) >= 0.9 * (600 - len(toxic)) and len(kept & toxic) <= 0.1 * len(toxic)
