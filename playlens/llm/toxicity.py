@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 
 from playlens.llm.common import checkpointed
 
-#: Labelled rows that are learned from, at most (those with the smallest hash of their id), and words in the vocabulary.
-SAMPLE, VOCABULARY = 16_384, 256
+#: Labelled rows that are learned from, at most (those with the smallest hash of their id). All their words count.
+SAMPLE = 16_384
+#: How many times its IDF a word weighs that speaks for toxicity, and the share of examples from which a word is common.
+STRESS, COMMON = 3.0, 1 / 8
 #: Examples in a block of the index, nearest examples that vote, and the weight of the share of toxic examples beside them.
 BLOCK, NEAREST, SHRINK = 64, 15, 2.0
 REJECT = 0.3
@@ -37,64 +39,117 @@ def evidence_for(hits: np.ndarray, others: np.ndarray, base: float) -> np.ndarra
 
 
 class Index:
-    """Labelled examples, in blocks of ``BLOCK`` in id order. For each word: its postings in each block, and their largest
-    weight (the block maxima)."""
+    """Labelled examples with all their words, in blocks of ``BLOCK`` in id order. For each word: its postings; for each common word also its
+    largest weight in each block (the block maxima)."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]], none: float, some: float):
-        """``examples``: (id, label, word counts). ``none``, ``some``: the share of toxic texts without and with a word of the vocabulary."""
+    def __init__(self, idf: dict[str, float], examples: list[tuple], none: float, some: float, rest: dict[str, float] | None = None):
+        """``idf``: the weights of the words that speak for toxicity, ``rest``: those of the others. ``examples``: (id, label, counts), the counts
+        by word, or as arrays of word numbers (places in ``idf``, then ``rest``) and counts. ``none``, ``some``: the share of toxic texts
+        without and with a word that speaks."""
         self.idf, self.none, self.some = idf, none, some
+        self.number = {w: i for i, w in enumerate([*idf, *(rest or {})])}
+        self.weights = np.array([*idf.values(), *(rest or {}).values()], np.float64)
         examples = sorted(examples, key=lambda e: e[0])
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], np.float64)
-        blocks = max(1, -(-len(examples) // BLOCK))
-        postings: dict[str, list] = {w: [[] for _ in range(blocks)] for w in idf}
-        for i, (_, _, counts) in enumerate(examples):
-            for w, x in self.vector(counts).items():
-                postings[w][i // BLOCK].append((i % BLOCK, x))
-        self.postings = {w: [(np.array([p[0] for p in b], int), np.array([p[1] for p in b])) for b in bs] for w, bs in postings.items()}
-        self.top = {w: np.array([max((p[1] for p in b), default=0.0) for b in bs]) for w, bs in postings.items()}
-        self.blocks = blocks
-        self.known: dict[tuple, tuple] = {}
+        self.blocks = max(1, -(-len(examples) // BLOCK))
+        each = [self.unit(*(self.numbered(e[2]) if isinstance(e[2], dict) else e[2])) for e in examples]
+        word = np.concatenate([np.zeros(0, np.int32), *(k for k, _ in each)])
+        order = np.argsort(word, kind="stable")
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(self.weights)))])
+        self.example = np.repeat(np.arange(len(each), dtype=np.int32), [len(k) for k, _ in each])[order]
+        self.weight = np.concatenate([np.zeros(0), *(x for _, x in each)])[order]
+        self._common()
+
+    def _common(self) -> None:
+        """The common words' weights in all examples, their block maxima and each example's length in them; made anew on each worker."""
+        words = np.flatnonzero(np.diff(self.at) > COMMON * len(self.ids))
+        self.row = np.full(len(self.weights), -1)
+        self.row[words] = np.arange(len(words))
+        self.whole = np.zeros((len(words), self.blocks * BLOCK))
+        for r, w in enumerate(words):
+            self.whole[r, self.example[self.at[w] : self.at[w + 1]]] = self.weight[self.at[w] : self.at[w + 1]]
+        self.top = self.whole.reshape(len(words), self.blocks, BLOCK).max(2)
+        self.whole = np.ascontiguousarray(self.whole.T)
+        self.size = np.sqrt((self.whole**2).sum(1)).reshape(self.blocks, BLOCK)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("row", "whole", "top", "size")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._common()
+
+    def numbered(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        found = sorted((self.number[w], n) for w, n in counts.items() if w in self.number)
+        return np.array([k for k, _ in found], np.int32), np.array([n for _, n in found], np.int32)
+
+    def unit(self, numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = (1 + np.log(counts)) * self.weights[numbers]
+        return numbers, x / sqrt(x @ x) if len(x) else x
 
     def vector(self, counts: dict[str, int]) -> dict[str, float]:
-        v = {w: (1 + log(n)) * self.idf[w] for w, n in sorted(counts.items()) if w in self.idf}
-        size = sqrt(sum(x * x for x in v.values()))
-        return {w: x / size for w, x in v.items()}
+        words = sorted((w for w in counts if w in self.number), key=self.number.get)
+        return dict(zip(words, self.unit(*self.numbered(counts))[1].tolist()))
 
     def nearest(self, v: dict[str, float], k: int = NEAREST) -> tuple[list[tuple[float, int]], int]:
+        """``closest`` to a vector by word."""
+        found = sorted((self.number[w], x) for w, x in v.items())
+        return self.closest(np.array([i for i, _ in found], np.int32), np.array([x for _, x in found]), k)
+
+    def closest(self, numbers: np.ndarray, x: np.ndarray, k: int = NEAREST) -> tuple[list[tuple[float, int]], int]:
         """The ``k`` examples with the highest cosine, ties to the smaller id, as (cosine, number); and the blocks scored.
 
-        Blocks come by falling bound, the sum of the query's weights times the block maxima; the search ends at the first bound
-        below the k-th cosine. Cosines count to nine digits, so that equal ones tie."""
-        bound = sum((x * self.top[w] for w, x in v.items()), np.zeros(self.blocks))
-        best: list[tuple[float, int]] = []
-        scored = 0
-        for b in np.argsort(-bound, kind="stable"):
-            if len(best) == k and bound[b] + 1e-8 < -best[-1][0]:
+        The postings of the rarer words are summed up for all examples. The common words add at most the sum of the query's weights times
+        the block maxima, and at most the product of both lengths. Blocks come by falling bound; the search ends at the first bound below the k-th cosine, and common words are
+        added only to examples whose own bound reaches it. Cosines count to nine digits, so that equal ones tie."""
+        n, k = len(self.ids), min(k, len(self.ids))
+        rows = self.row[numbers]
+        rare = [(self.at[w], self.at[w + 1], y) for w, y in zip(numbers[rows < 0].tolist(), x[rows < 0].tolist())]
+        sums = np.zeros(self.blocks * BLOCK)
+        if rare:
+            at = np.concatenate([self.example[a:b] for a, b, _ in rare])
+            sums = np.bincount(at, np.concatenate([self.weight[a:b] * y for a, b, y in rare]), len(sums))
+        y, rows = x[rows >= 0], rows[rows >= 0]
+        bounds = (sums.reshape(self.blocks, BLOCK) + np.minimum((y @ self.top[rows])[:, None], sqrt(y @ y) * self.size)).ravel()
+        bounds[n:] = -1
+        bound = bounds.reshape(self.blocks, BLOCK).max(1)
+        common = np.zeros(self.whole.shape[1])
+        common[rows] = y
+        least = np.partition(sums[:n], n - k)[n - k]  # the k-th cosine is no less
+        order = np.argsort(-bound, kind="stable")
+        found, cosines = np.zeros(0, np.int64), np.zeros(0)
+        scored, take = 0, 1
+        while scored < self.blocks:
+            blocks = order[scored : scored + take]
+            blocks = blocks[bound[blocks] + 1e-8 >= least]
+            if not len(blocks):
                 break
-            s = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-            for w, x in v.items():
-                at, y = self.postings[w][b]
-                s[at] += x * y
-            best = sorted([*best, *((-round(float(c), 9), int(b) * BLOCK + i) for i, c in enumerate(s))])[:k]
-            scored += 1
-        return [(-c, i) for c, i in best], scored
+            e = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            e = e[(bounds[e] + 1e-8 >= least) & (e < n)]
+            found = np.concatenate([found, e])
+            cosines = np.concatenate([cosines, np.round(sums[e] + self.whole[e] @ common, 9)])
+            if len(found) > k:
+                best = np.lexsort((found, -cosines))[:k]
+                found, cosines = found[best], cosines[best]
+            if len(found) == k:
+                least = max(least, cosines.min())
+            scored += len(blocks)
+            take *= 4
+        best = np.lexsort((found, -cosines))
+        return list(zip(cosines[best].tolist(), found[best].tolist())), scored
 
     def score(self, counts: dict[str, int]) -> tuple[float, list[tuple[int, float, int]]]:
         """The score, and the evidence: (id, cosine, label) of the voters. A voter weighs the more the nearer it is."""
-        key = tuple(sorted(counts.items()))
-        if not key or not len(self.ids):
+        numbers, n = self.numbered(counts)
+        if not len(numbers) or not len(self.ids):
             return self.none, []
-        if key not in self.known:
-            if len(self.known) > 20_000:
-                self.known.clear()
-            found, _ = self.nearest(self.vector(counts))
-            found = [(c, i) for c, i in found if c > 0]
-            weight = np.array([c * c / (0.1 + 1 - c) for c, _ in found])
-            label = self.labels[[i for _, i in found]]
-            score = (float(weight @ label) + SHRINK * self.some) / (float(weight.sum()) + SHRINK)
-            self.known[key] = min(1.0, max(0.0, score)), [(int(self.ids[i]), c, int(self.labels[i])) for c, i in found]
-        return self.known[key]
+        share = self.some if numbers[0] < len(self.idf) else self.none
+        found = [(c, i) for c, i in self.closest(*self.unit(numbers, n))[0] if c > 0]
+        weight = np.array([c * c / (0.1 + 1 - c) for c, _ in found])
+        label = self.labels[[i for _, i in found]]
+        score = (float(weight @ label) + SHRINK * share) / (float(weight.sum()) + SHRINK)
+        return min(1.0, max(0.0, score)), [(int(self.ids[i]), c, int(self.labels[i])) for c, i in found]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -107,11 +162,11 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> Index:
-    """The index, from at most ``sample`` labelled rows that aren't held out. Equal texts count once (the largest label).
+    """The index, from at most ``sample`` labelled rows that aren't held out, with all their words. Equal texts count once (the largest label).
 
-    The vocabulary are the words that speak for toxicity: their ``evidence_for`` it is more than chance gives the best of as many
-    words, whatever the share of toxic texts among all. A word counts in as many toxic texts as it has different neighbours there, so that copies of
-    one text do not make its words speak. What comes to the driver is bounded by the sample and ``VOCABULARY``.
+    Some words speak for toxicity: their ``evidence_for`` it is more than chance gives the best of as many words, whatever the
+    share of toxic texts among all. They weigh more. A word counts in as many toxic texts as it has different neighbours there, so that
+    copies of one text do not make its words speak. What comes to the driver are the words of the sample and their counts.
     """
     fine = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     picked = fine.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).join(docs.select(F.col(doc_id).alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -122,22 +177,33 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     texts = checkpointed(texts, "examples")
     n, toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     base = (toxic + 1) / (n + 2)
-    per_word = texts.select("y", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("hits"))
-    bar = sqrt(2 * log(max(per_word.count(), 2)))  # what the best of so many words that say nothing comes to
-    seen = {r["word"]: (r["n"], r["hits"]) for r in per_word.where(F.col("hits") > F.col("n") * base).orderBy(F.desc(F.col("hits") - F.col("n") * base), "word").limit(16 * VOCABULARY).collect()}
+    per_word = texts.select("y", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("hits"))
+    counted = per_word.toArrow().sort_by("word")
+    every, df, hits = counted["word"].to_pylist(), counted["n"].to_numpy(), counted["hits"].to_numpy()
+    bar = sqrt(2 * log(max(len(every), 2)))  # what the best of so many words that say nothing comes to
+    maybe = np.flatnonzero(evidence_for(hits, df - hits, base) > bar)
     around = texts.where("y = 1").select(F.explode(F.transform("w", lambda x, i: F.struct(x.alias("word"), F.get("w", i - 1).alias("l"), F.get("w", i + 1).alias("r")))).alias("x")).select("x.*")
-    ways = {r["word"]: r["k"] for r in around.where(F.col("word").isin(list(seen))).groupBy("word").agg(F.count_distinct(F.struct("l", "r")).alias("k")).collect()} if seen else {}
-    chosen = []
-    for w, (all_, hits) in seen.items():
-        k = min(hits, ways.get(w, 0))
-        if (speaks := float(evidence_for(np.float64(k), np.float64(all_ - hits), base))) > bar:
-            chosen.append((-speaks, w, all_))
-    chosen = sorted(chosen)[:VOCABULARY]
-    idf = {w: log((n + 1) / (df + 0.5)) + 0.1 for _, w, df in chosen}
-    rows = texts.select("id", "y", F.filter("w", lambda x: x.isin(list(idf)) if idf else F.lit(False)).alias("w")).collect()
-    some, none = [r for r in rows if r["w"]], [r for r in rows if not r["w"]]
-    share = lambda rs: (sum(r["y"] for r in rs) + base) / (len(rs) + 1)
-    return Index(idf, [(r["id"], r["y"], Counter(r["w"])) for r in some], share(none), share(some))
+    asked = docs.sparkSession.createDataFrame([(every[i],) for i in maybe], "word string")
+    ways = {r["word"]: r["k"] for r in around.join(F.broadcast(asked), "word").groupBy("word").agg(F.count_distinct(F.struct("l", "r")).alias("k")).collect()} if len(maybe) else {}
+    distinct = np.array([ways.get(every[i], 0) for i in maybe], np.int64)
+    speaks = evidence_for(np.minimum(hits[maybe], distinct), (df - hits)[maybe], base)
+    plain = np.log((n + 1) / (df + 0.5)) + 0.1
+    idf = {every[i]: float(STRESS * plain[i]) for i, g in zip(maybe, speaks) if g > bar}
+    rest = {w: x for w, x in zip(every, plain.tolist()) if w not in idf}
+    number = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate([*idf, *rest])})
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sorted((number.value[w], k) for w, k in Counter(ws).items()) for ws in b.column(2).to_pylist()]
+            two = [pa.array([np.array([x[j] for x in f], np.int32).tobytes() for f in found], pa.binary()) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *two], names=["id", "y", "words", "counts"])
+
+    rows = texts.select("id", "y", "w").mapInArrow(numbers, "id long, y int, words binary, counts binary").toArrow()
+    read = lambda c: [np.frombuffer(x, np.int32) for x in rows[c].to_pylist()]
+    examples = [(i, y, (k, c)) for i, y, k, c in zip(rows["id"].to_pylist(), rows["y"].to_pylist(), read("words"), read("counts"))]
+    parts = [[e[1] for e in examples if (len(e[2][0]) > 0 and e[2][0][0] < len(idf)) == has] for has in (False, True)]
+    none, some = ((sum(ys) + base) / (len(ys) + 1) for ys in parts)
+    return Index(idf, examples, none, some, rest)
 
 
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE, evidence: str | None = "evidence") -> DataFrame:
@@ -145,9 +211,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     (doc_id, cosine, label) of the nearest examples. Columns of these names are replaced.
 
     ``labels`` is (doc_id, toxic); only rows whose crc32 of the id as text is not 2 modulo 4 are learned from, and only the text
-    makes the score. Texts without a word of the vocabulary, null and empty ones too, score the share of toxic texts among such
-    examples (without any examples: one half). Repeated rows score alike. Null ids are not held out.
-    The index is small and the same for all tasks; the texts are read once more and never shuffled.
+    makes the score. Texts without a word of the sample, null and empty ones too, score the share of toxic texts among examples without
+    a word that speaks (without any examples: one half). Repeated rows score alike. Null ids are not held out.
+    The index is bounded by the sample and the same for all tasks; the texts are read once more and never shuffled.
     """
     index = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, text, doc_id, sample))
     new = ["held_out", "score", "predicted", *([evidence] if evidence else [])]
@@ -160,9 +226,10 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = index.value
-        known = frozenset(x.idf)
         for b in batches:
-            found = [x.score(Counter(w for w in words(t) if w in known)) for t in b.column(len(keep)).to_pylist()]
+            texts = b.column(len(keep)).to_pylist()
+            scores = {t: x.score(Counter(words(t))) for t in set(texts)}
+            found = [scores[t] for t in texts]
             columns = [pa.array([s for s, _ in found], pa.float64())]
             if evidence:
                 columns.append(pa.array([[{"doc_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found], arrow))

@@ -103,6 +103,38 @@ def test_labels_of_held_out_rows_change_nothing(spark, docs):
     assert a == b
 
 
+def test_all_words_and_clean_examples_vote(spark, docs):
+    frame, labels = made(spark, docs)
+    index = toxicity.learn(frame, labels)
+    learned = {i for i in range(160) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(index.ids.tolist()) == learned
+    texts = {r.doc_id: r.text for r in frame.collect() if r.doc_id in learned}
+    assert set(index.number) == {w for t in texts.values() for w in toxicity.words(t)}
+    rows = {r.doc_id: r for r in toxicity.score(frame, labels).collect()}
+    for i in learned:
+        assert rows[i].evidence[0].doc_id == i and abs(rows[i].evidence[0].cosine - 1) < 1e-8
+    # a long clean text that quotes the word once is near to clean examples
+    clean = [texts[i] for i in sorted(learned) if i % 4][:3]
+    more = docs([(900, " ".join([*clean, "vile"]))]).withColumnRenamed("n", "score")
+    row = next(r for r in toxicity.score(frame.unionAll(more), labels).collect() if r.doc_id == 900)
+    assert max(e.cosine for e in row.evidence) < 0.99 and any(e.label == 0 for e in row.evidence)
+
+
+def test_index_of_common_and_rare_words_equals_brute_force():
+    rng = random.Random(1)
+    rest = {f"w{i}": 0.1 + rng.random() * (1 + i / 40) for i in range(400)}
+    some = lambda: {f"w{min(399, int(rng.expovariate(0.02)))}": rng.randint(1, 3) for _ in range(25)}
+    examples = [(i, i % 2, some()) for i in range(700)]
+    index = toxicity.Index({"vile": 9.0}, examples, 0.1, 0.2, rest)
+    assert 0 < index.whole.shape[1] < 400
+    vectors = [index.vector(c) for _, _, c in examples]
+    for _ in range(40):
+        q = index.vector(some())
+        want = sorted((-round(sum(x * v.get(w, 0) for w, x in q.items()), 9), i) for i, v in enumerate(vectors))[: toxicity.NEAREST]
+        got, _ = index.nearest(q)
+        assert [i for _, i in got] == [i for _, i in want] and all(abs(a[0] + b[0]) < 2e-9 for a, b in zip(got, want))
+
+
 def shared(spark, folder, percent):
     """Tables of 600 documents, ``percent`` of them toxic by one of six words, and the toxic ids."""
     rng = random.Random(percent)
