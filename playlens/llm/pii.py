@@ -259,6 +259,44 @@ def stretches(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
         at = last = max(end, m.end())
 
 
+#: Characters of a stretch whose candidates are held at once.
+_PIECE = 4000
+
+
+def decoded(text: str, lo: int, hi: int, w: np.ndarray) -> list[Span]:
+    """The best segmentation of the stretch. A long one is decoded in pieces, where the last candidates of a piece may reach into the next:
+    scores are carried over each cut, so the result is that of the whole stretch."""
+    if hi - lo <= _PIECE:
+        return Part(text, lo, hi).best(w)
+    cuts = [lo, *(m.end() for m in _ATOM.finditer(text, lo, hi))]
+    score, back = np.zeros(len(cuts)), [None] * len(cuts)
+    ends: dict[int, list[tuple[int, float, int]]] = {}
+    first = last = 0
+    for j in range(1, len(cuts)):
+        if j > last:  # candidates that start in the next piece
+            first = last
+            while last < len(cuts) - 1 and (last == first or cuts[last] - cuts[first] < _PIECE):
+                last += 1
+            part = Part(text, cuts[first], cuts[min(len(cuts) - 1, last + LONGEST)])
+            s = part.x @ w
+            for (a, b), top, kind in zip(part.spans, s.max(1) if len(s) else s, s.argmax(1) if len(s) else s):
+                if first + a < last:
+                    ends.setdefault(first + b, []).append((first + a, top, kind))
+        score[j] = score[j - 1]
+        for i, top, kind in ends.pop(j, ()):
+            if score[i] + top > score[j]:
+                score[j], back[j] = score[i] + top, (i, kind)
+    out, j = [], len(cuts) - 1
+    while j > 0:
+        if back[j] is None:
+            j -= 1
+        else:
+            i, kind = back[j]
+            out.append((KINDS[kind], cuts[i], cuts[j]))
+            j = i
+    return out[::-1]
+
+
 def all_spans(text: str, w: np.ndarray | None) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans)"""
     base = base_spans(text)
@@ -266,8 +304,7 @@ def all_spans(text: str, w: np.ndarray | None) -> tuple[list[Span], list[Span]]:
         return base, base
     more = []
     for lo, hi in stretches(text, base):
-        for at in range(lo, hi, 4000):  # a long row of digits is cut; each cut is longer than any entity
-            more += Part(text, at, min(hi, at + 4000)).best(w)
+        more += decoded(text, lo, hi, w)
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

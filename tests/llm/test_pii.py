@@ -100,6 +100,15 @@ def test_dynamic_program_equals_trying_all(model):
         assert abs(score - best(0)) < 1e-9
 
 
+def test_long_stretches_are_decoded_whole(model):
+    for shift in range(0, 24, 5):
+        text = "x" * shift + " call (017) 555-7713 now, costs 12 or 7," * 250
+        lo, hi = next(pii.stretches(text, []))
+        assert hi - lo > 8000
+        assert pii.decoded(text, lo, hi, model) == pii.Part(text, lo, hi).best(model)
+        assert added(text, model).count(("phone", "(017) 555-7713")) == 250
+
+
 def test_gradient_equals_differences(model):
     import numpy as np
 
