@@ -68,14 +68,17 @@ def base_spans(text: str) -> list[Span]:
 
 # ---- the model ----
 
-#: Atoms of a candidate at most. An entity is longer in no known form; the dynamic program is linear in the text for it.
-LONGEST = 24
-_ATOM = re.compile(r"[A-Za-z]+|[0-9]+|\s+|.", re.S)
+#: Characters of a passage's entity that is trained on, at most. A written-out at-sign or dot is one atom, so in any of its variants it
+#: has at most as many atoms, and a candidate may have them all; the dynamic program is linear in the text for it.
+LONGEST = 60
+_ATOM = re.compile(r"\x20?[\[(]\x20?(?:at|dot)\x20?[\])]\x20?|[A-Za-z]+|[0-9]+|\s+|.", re.S | re.I)
 _AT = re.compile(r"[\x20]?[\[(]\x20?at\x20?[\])][\x20]?", re.I)
 _DOT = re.compile(r"[\x20]?[\[(]\x20?dot\x20?[\])][\x20]?", re.I)
 _TRIGGER = re.compile(r"[0-9]|@|[\[(]\x20?at\x20?[\])]", re.I)
+_REACH = re.compile(r"[0-9]|@|[\[(]\x20?(?:at|dot)\x20?[\])]", re.I)
+_MARK = re.compile(r"\x20?[\[(]\x20?(?:at|dot)\x20?[\])]\x20?", re.I)
 _SAID = (frozenset("mail email mailto contact write".split()), frozenset("ip host server address".split()), frozenset("card visa credit debit account".split()), frozenset("phone tel telephone call fax mobile cell".split()))
-FEATURES = 29
+FEATURES = 30
 
 
 def features(span: str, left: str, right: str, word: str) -> np.ndarray:
@@ -122,6 +125,7 @@ class Part:
         self.cuts = [lo, *(m.end() for m in _ATOM.finditer(text, lo, hi))]
         self.spans: list[tuple[int, int]] = []
         rows = []
+        mark = [bool(_MARK.fullmatch(text, a, b)) for a, b in zip(self.cuts, self.cuts[1:])] + [False]
         starts = [text[c] if c < hi else "" for c in self.cuts]
         for i in range(len(self.cuts) - 1):
             if not (starts[i].isalnum() or starts[i] in "+("):
@@ -134,6 +138,7 @@ class Part:
                 if s[-1].isalnum() and len(s) >= 4 and _TRIGGER.search(s):
                     self.spans.append((i, j))
                     rows.append(features(s, text[self.cuts[i] - 1 : self.cuts[i]], text[self.cuts[j] : self.cuts[j] + 1], word[1].lower() if word else ""))
+                    rows[-1][29] = mark[j] or i > 0 and mark[i - 1]  # a written-out address goes on beside it
         self.x = np.array(rows).reshape(-1, FEATURES)
         order = sorted(range(len(self.spans)), key=lambda k: self.spans[k][1])
         self.by_end: dict[int, list[int]] = {}
@@ -235,7 +240,8 @@ def train(islands: list[tuple[str, list[Span]]], rounds: int = 40, penalty: floa
     return w
 
 
-_NEAR = 40
+#: Characters of a stretch before its first digit or at-sign and after its last digit, at-sign or written-out dot: the longest label of a domain fits.
+_BEFORE, _NEAR = 160, 72
 
 
 def stretches(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
@@ -248,10 +254,10 @@ def stretches(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
         if k < len(spans) and spans[k][0] <= m.start():
             at = spans[k][1]
             continue
-        lo = max(m.start() - _NEAR * 4, last, spans[k - 1][1] if k else 0, text.rfind("\n", 0, m.start()) + 1)
+        lo = max(m.start() - _BEFORE, last, spans[k - 1][1] if k else 0, text.rfind("\n", 0, m.start()) + 1)
         stop = spans[k][0] if k < len(spans) else len(text)
         hi, end = m.end(), m.end()
-        while (n := _TRIGGER.search(text, hi, min(hi + _NEAR, stop))) and "\n" not in text[hi : n.start()]:
+        while (n := _REACH.search(text, hi, min(hi + _NEAR, stop))) and "\n" not in text[hi : n.start()]:
             hi = n.end()
         line = text.find("\n", hi, min(hi + _NEAR, stop))
         end = line if line >= 0 else min(hi + _NEAR, stop)
@@ -314,7 +320,7 @@ def _islands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             spans = base_spans(t) if t else []
             for kind in KINDS:
-                for _, s, e in [x for x in spans if x[0] == kind and x[2] - x[1] < 60][:1]:
+                for _, s, e in [x for x in spans if x[0] == kind and x[2] - x[1] < LONGEST][:1]:
                     out.append((i, kind, t[max(0, s - 30) : e + 30]))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["id", "kind", "t"])

@@ -109,6 +109,26 @@ def test_long_stretches_are_decoded_whole(model):
         assert added(text, model).count(("phone", "(017) 555-7713")) == 250
 
 
+@pytest.mark.parametrize("mail", [
+    "jane [at] computer-science [dot] stanford [dot] edu", "jane.doe [at] cs [dot] uni [dot] ac [dot] uk", "first [dot] last [at] sub [dot] domain [dot] org",
+    "jane [at] institute-for-computational-linguistics-and-phonetics [dot] uni [dot] org",
+])
+def test_long_written_out_domains(model, mail):
+    text = f"mail {mail} ok"
+    part = pii.Part(text, *next(pii.stretches(text, [])))
+    assert (5, 5 + len(mail)) in [(part.cuts[i], part.cuts[j]) for i, j in part.spans]
+    assert added(text, model) == [("email", mail)]
+
+
+def test_every_variant_of_a_training_passage_fits():
+    for own in ("a.b.c.d.e.f.g.h.i.j.k@l.m.n.o.p.q.r.s.t.u.v.w.x.y.z.a.b.cd", "first.last@sub.domain.org", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "+1 (017) 555-7713"):
+        text = f"re {own} of"
+        assert pii.base_spans(text)
+        for t, spans in pii._variants(text, pii.base_spans(text)):
+            part = pii.Part(t, 0, len(t))
+            assert {(s, e) for _, s, e in spans} <= {(part.cuts[i], part.cuts[j]) for i, j in part.spans}
+
+
 def test_gradient_equals_differences(model):
     import numpy as np
 
