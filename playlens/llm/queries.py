@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import bpe, lines, mixing, pii, quality, simhash, topk, toxicity, urls, windows
+from playlens.llm import align, bpe, lines, lm, mixing, phrases, pii, quality, simhash, topk, toxicity, urls, windows
 from playlens.llm.common import documents, table
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def vocabulary_path() -> str:
@@ -23,6 +23,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def pieces_path() -> str:
+    """The sentencepiece model, on every executor: ``PLAYLENS_PIECES``, else that of the installed public_tokenizers."""
+    if own := os.environ.get("PLAYLENS_PIECES"):
+        return own
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECES)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", simhash.print_hex(F.col("f")).alias("fingerprint"), "component_id")
@@ -78,6 +87,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.col("posterior")[0].alias("p_prime"), F.col("posterior")[1].alias("p_rough"), "rate", "copies")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align.align(documents(spark, sf_dir).select("doc_id", "text"), vocabulary_path(), pieces_path())
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    judged = align.judge_links(out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_overlaps", sha, "pairs", "times"))
+    return judged.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
+def op13_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -89,12 +113,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
+    "op11_align": op11_align,
+    "op12_phrases": op12_phrases,
+    "op13_lm": op13_lm,
 }
 
 _TRIM = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op12_phrases": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), s AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+v AS (SELECT lang, piece, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM s),
+t AS (SELECT lang, x, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM v WINDOW o AS (PARTITION BY piece ORDER BY i)),
+g AS (
+  SELECT lang, 1 AS words, x AS phrase FROM t
+  UNION ALL SELECT lang, 2, x || ' ' || y FROM t WHERE y IS NOT NULL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM t WHERE z IS NOT NULL
+), f AS (SELECT lang, words, phrase, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words >= 2 AND a >= 10),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, 1000000 * c.a * c.a // (x.a * y.a) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(w, k + 1, c.words), ' ')
+), best AS (SELECT lang, phrase, a, min(struct_pack(score := score, k := k, l := l, r := r)) AS c FROM cut GROUP BY ALL),
+held AS (SELECT lang, unnest([array_to_string(list_slice(w, 1, 2), ' '), array_to_string(list_slice(w, 2, 3), ' ')]) AS phrase, a FROM c WHERE words = 3),
+over_ AS (SELECT lang, phrase, max(a) AS most FROM held GROUP BY ALL),
+r AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY c.score DESC, a DESC, CAST(encode(phrase) AS BLOB)) AS rank
+  FROM best b LEFT JOIN over_ o USING (lang, phrase) WHERE o.most IS NULL OR 100 * o.most < 50 * b.a
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(c.l AS BIGINT) AS l, CAST(c.r AS BIGINT) AS r, n, CAST(c.score AS BIGINT) AS score
+FROM r JOIN n USING (lang) WHERE rank <= 2000""",
     "op3_line_dedup": f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 rows_ AS (SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM split),
