@@ -62,8 +62,12 @@ def resolve_outcomes(predictions: DataFrame, outcomes: DataFrame) -> DataFrame:
     both = p.unionByName(o, allowMissingColumns=True).withColumn("t_us", X.micros("made_at"))
     rows = OrderedRows.by(both, KEY, ["t_us", "event_id"])
     rows = rows.running({"epoch": r_sum(F.col("is_outcome"))}).running({"open": r_last(F.col("p"))}, ["epoch"])
-    done = rows.rows().where(F.col("is_outcome") == 1)
-    graded = done.select(
+    return graded(rows.rows().where(F.col("is_outcome") == 1))
+
+
+def graded(done: DataFrame) -> DataFrame:
+    """Resolved and graded outcomes from ``event_id``, ``made_at``, the outcome ``r`` and the ``open`` prediction or null."""
+    resolved = done.select(
         *KEY,
         F.col("event_id").alias("outcome_id"),
         F.col("made_at").alias("resolved_at"),
@@ -74,7 +78,7 @@ def resolve_outcomes(predictions: DataFrame, outcomes: DataFrame) -> DataFrame:
         X.round_even("r.total_sec", 1).alias("total_duration_sec"),
         F.col("r.was_skipped").alias("actual_skipped"),
     )
-    return graded.withColumns(
+    return resolved.withColumns(
         {
             "evaluation_result": X.grade("predicted_skip", "actual_skipped"),
             "cdn_mb_saved": X.mb_saved("predicted_skip", "actual_skipped", "actual_played_sec"),

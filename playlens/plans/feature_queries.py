@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from playlens.functions import exprs as X
 from playlens.operators import features
+from playlens.operators.asof import asof_join
 from playlens.plans.engagement_queries import FAMILY
 from playlens.plans.oracle import HOUR, WEEKDAY, YEAR, rnd, with_views
 from playlens.plans.registry import add
@@ -150,6 +151,53 @@ for view in ("plays", "plays_long"):
     )
 
 
+# --- as-of join of two tables -------------------------------------------------------------------
+def latest_prediction(t, **how):
+    """Each play with the last prediction for its track."""
+    p = t.predictions.select("user_id", "song_name", "made_at", "event_id", "prob", "flagged")
+    plays = t.plays.select("user_id", "event_id", "time_stamp", "song_name", "skipped")
+    found = asof_join(plays, p, ["user_id", "song_name"], "time_stamp", "made_at", prefix="seen_", **how)
+    return found.select("user_id", "event_id", "skipped", F.unix_micros("seen_made_at").alias("made_us"), "seen_event_id", "seen_prob", "seen_flagged")
+
+
+def latest_prediction_sql(op, within=None):
+    """DuckDB's ASOF JOIN takes any of equal times: only the largest is left to it."""
+    near = f"epoch_us(time_stamp) - epoch_us(made_at) <= {within}" if within else "true"
+    columns = {"epoch_us(made_at)": "made_us", "o.event_id": "seen_event_id", "prob": "seen_prob", "flagged": "seen_flagged"}
+    return with_views(
+        "plays predictions",
+        "SELECT plays.user_id, plays.event_id, plays.skipped, " + ", ".join(f"CASE WHEN {near} THEN {c} END AS {n}" for c, n in columns.items())
+        + f" FROM plays ASOF LEFT JOIN o ON plays.user_id = o.user_id AND plays.song_name = o.song_name AND plays.time_stamp {op} o.made_at",
+        m="SELECT user_id, song_name, made_at, max(struct_pack(event_id := event_id, prob := prob, flagged := flagged)) AS x FROM predictions GROUP BY 1, 2, 3",
+        o="SELECT user_id, song_name, made_at, x.event_id AS event_id, x.prob AS prob, x.flagged AS flagged FROM m",
+    )
+
+
+add("asof_latest_prediction", latest_prediction, latest_prediction_sql(">="))
+add("asof_earlier_prediction", lambda t: latest_prediction(t, strict=True), latest_prediction_sql(">"))
+add("asof_recent_prediction", lambda t: latest_prediction(t, tolerance=3 * 86400), latest_prediction_sql(">=", 3 * 86400 * 1000000))
+
+
+def skip_before_order(t):
+    """The last skip of a listener's order history before each play, over two tables: numbers of days as times."""
+    day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
+    plays = t.plays.select((F.col("user_id") % 40).alias("listener"), "event_id", day("time_stamp").alias("day"))
+    skips = t.plays_long.where("skipped = 1").groupBy(F.col("user_id").alias("listener"), day("time_stamp").alias("day")).agg(F.count(F.lit(1)).alias("skips"))
+    return asof_join(plays, skips, ["listener"], "day", strict=True, prefix="before_")
+
+
+add(
+    "asof_skip_days",
+    skip_before_order,
+    with_views(
+        "plays plays_long",
+        "SELECT l.listener, l.event_id, l.day, r.day AS before_day, r.skips AS before_skips FROM l ASOF LEFT JOIN r ON l.listener = r.listener AND l.day > r.day",
+        l="SELECT user_id % 40 AS listener, event_id, CAST(date_diff('day', DATE '1970-01-01', CAST(time_stamp AS DATE)) AS INTEGER) AS day FROM plays",
+        r="SELECT user_id AS listener, CAST(date_diff('day', DATE '1970-01-01', CAST(time_stamp AS DATE)) AS INTEGER) AS day, count(*) AS skips FROM plays_long WHERE skipped = 1 GROUP BY 1, 2",
+    ),
+)
+
+
 def rolling_sql(sec):
     """Skips in (t - W, t] among rows that come earlier in (time, id) order."""
     us = sec * 1000000

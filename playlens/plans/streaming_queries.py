@@ -151,21 +151,24 @@ add(
 )
 
 # --- state per listener -------------------------------------------------------------------------------
-def delivered(t, frame, time, job, deliveries=3):
-    """``frame`` arrives in several deliveries by time, each drained by the job from one checkpoint; then the job is closed."""
-    source, checkpoint = scratch_path(t.spark, "deliveries"), scratch_path(t.spark, "deliveries-checkpoint")
+def delivered(t, frames, time, job, deliveries=3, late=0):
+    """Each frame arrives in several deliveries by time, each drained by the job from one checkpoint. Every ``late``-th row comes one
+    delivery after its time. A last delivery holds a heartbeat a year on, which moves the watermark past all rows."""
+    sources = [scratch_path(t.spark, "deliveries") for _ in frames]
+    out, checkpoint = scratch_path(t.spark, "delivered"), scratch_path(t.spark, "deliveries-checkpoint")
     at = X.micros(time)
-    lo, hi = frame.agg(F.min(at), F.max(at)).first()
+    ends = [f.agg(F.min(at), F.max(at)).first() for f in frames]
+    lo, hi = min(e[0] for e in ends), max(e[1] for e in ends)
     part = F.least(F.floor((at - lo) * deliveries / (hi - lo + 1)), F.lit(deliveries - 1))
-    for i in range(deliveries):
-        frame.where(part == i).write.mode("append").parquet(source)
-        run.drain(run.read_stream(t.spark, source, frame.schema), source, checkpoint, sink=job)
-    job.close(frame.schema)
-    return job.result()
-
-
-def state_path(t, label):
-    return scratch_path(t.spark, f"state-{label}")
+    if late:
+        part = F.least(part + (F.col("event_id") % late == 0).cast("int"), F.lit(deliveries - 1))
+    for i in range(deliveries + 1):
+        for frame, source in zip(frames, sources):
+            beat = [F.timestamp_micros(F.lit(hi + 366 * 86400 * 1000000)).alias(c) if c == time else F.lit(None).cast(frame.schema[c].dataType).alias(c) for c in frame.columns]
+            rows = frame.where(part == i) if i < deliveries else t.spark.range(1).select(*beat)
+            rows.coalesce(1).write.mode("append").parquet(source)
+        run.drain(job(*[run.read_stream(t.spark, s, f.schema) for f, s in zip(frames, sources)]), out, checkpoint)
+    return t.spark.read.parquet(out).drop(run.BATCH)
 
 
 SINCE = rnd("since", 6)
@@ -173,8 +176,9 @@ SINCE = rnd("since", 6)
 
 def replay_stream(t):
     recent = with_new_names(t.recent_plays).select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name")
-    job = stateful.session_replay(t.spark, state_path(t, "replay"), *lookups(t))
-    return delivered(t, recent, "played_at", job).select(*state_columns(), "actual_played_sec")
+    rates = lookups(t)
+    told = delivered(t, [recent], "played_at", lambda s: stateful.session_replay(s, *rates))
+    return told.select(*state_columns(), "actual_played_sec")
 
 
 add(
@@ -184,28 +188,20 @@ add(
 )
 
 
-def resolve_stream(t):
-    events = stateful.prediction_events(t.predictions, t.outcomes)
-    return delivered(t, events, "made_at", stateful.resolve(t.spark, state_path(t, "resolve")))
+def resolve_stream(t, late=0, delay_sec=600):
+    return delivered(t, [t.predictions, t.outcomes], "made_at", lambda p, o: stateful.resolve(p, o, delay_sec, None), late=late)
 
 
-add(
-    "stream_resolve_outcomes",
-    lambda t: resolve_stream(t).select(
-        "user_id", "event_id", "song_name", "artist_name", "predicted_prob", "predicted_skip", "risk_tier", "actual_played_sec", "actual_skipped", "evaluation_result", "cdn_mb_saved"
-    ),
-    with_views(
-        "predictions outcomes",
-        "SELECT user_id, outcome_id AS event_id, song_name, artist_name, predicted_prob, predicted_skip, risk_tier, actual_played_sec, actual_skipped, "
-        "evaluation_result, cdn_mb_saved FROM gr",
-        **RESOLVED,
-    ),
-)
+RESOLVED_COLUMNS = [
+    "user_id", "outcome_id", "song_name", "artist_name", "predicted_prob", "predicted_skip", "risk_tier", "actual_played_sec", "actual_skipped", "evaluation_result", "cdn_mb_saved",
+]
+RESOLVED_SQL = with_views("predictions outcomes", f"SELECT {', '.join(RESOLVED_COLUMNS)} FROM gr", **RESOLVED)
+add("stream_resolve_outcomes", lambda t: resolve_stream(t).select(*RESOLVED_COLUMNS), RESOLVED_SQL)
+#: A third of the rows come a delivery late, within the watermark.
+add("stream_resolve_late", lambda t: resolve_stream(t, 3, 40 * 86400).select(*RESOLVED_COLUMNS), RESOLVED_SQL)
 add(
     "stream_mood",
-    lambda t: delivered(t, t.progress, "poll_ts", stateful.mood(t.spark, state_path(t, "mood"))).withColumn(
-        "seconds_since_last_skip", X.round_even("seconds_since_last_skip", 6)
-    ),
+    lambda t: delivered(t, [t.progress], "poll_ts", stateful.mood).withColumn("seconds_since_last_skip", X.round_even("seconds_since_last_skip", 6)),
     with_views(
         "progress",
         f"SELECT user_id, event_id, s3 AS skips_last_3m, s15 AS skips_last_15m, {SINCE} AS seconds_since_last_skip, "

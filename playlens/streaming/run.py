@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from playlens.operators.enrich import new_events
@@ -12,6 +13,7 @@ from playlens.session import scratch_path
 
 BATCH = "batch_id"
 DAY = "day"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_stream(spark: SparkSession, directory: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -55,11 +57,14 @@ def state_partitions(spark: SparkSession) -> int:
     return int(wanted) if wanted else min(shuffle, 2 * spark.sparkContext.defaultParallelism)
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", sink=None) -> None:
-    """Process everything that is there now, then stop."""
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", sink=None) -> StreamingQuery:
+    """Process everything that is there now, then stop. State lives in RocksDB on the executors' disks, with its changes under
+    ``checkpoint``: it need not fit in memory."""
     spark = stream.sparkSession
-    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
+    own = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), "spark.sql.streaming.stateStore.providerClass": STATE_STORE}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:  # a started query keeps its own copy of the settings
         query = (
             stream.writeStream.outputMode(mode)
@@ -69,8 +74,10 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", s
             .start()
         )
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     query.awaitTermination()
+    return query
 
 
 def collect_stream(stream: DataFrame, label: str, mode: str = "append", sink_keys: list[str] | None = None, time: str | None = None) -> DataFrame:

@@ -4,26 +4,30 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from playlens.operators import replay
+from playlens.functions import exprs as X
+from playlens.operators import audit, replay
 from playlens.session import scratch_path
 from playlens.streaming import ingest, run, stateful, windows
 
-def deliver(spark, frame, time, job, parts=4):
-    """In several deliveries by time; every batch is handed to the job twice, as after a lost driver."""
-    source, checkpoint = (scratch_path(spark, n) for n in ("src", "chk"))
-    t = F.unix_micros(time)
-    lo, hi = frame.agg(F.min(t), F.max(t)).first()
 
-    def twice(df, batch_id):
-        job(df, batch_id)
-        job(df, batch_id)
 
-    for i in range(parts):
-        step = (hi - lo) // parts + 1
-        frame.where((t >= lo + i * step) & (t < lo + (i + 1) * step)).write.mode("append").parquet(source)
-        run.drain(run.read_stream(spark, source, frame.schema), source, checkpoint, sink=twice)
-    job.close(frame.schema)
-    return job.result()
+def deliver(spark, frames, time, job, parts=2, beat_days=40):
+    """In several deliveries by time, each a query of its own that goes on from the checkpoint; rows lie in no order. Then a heartbeat.
+    Returns the rows and the state's size after each delivery."""
+    sources = [scratch_path(spark, "src") for _ in frames]
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "chk")
+    t = F.unix_micros(time)
+    ends = [f.agg(F.min(t), F.max(t)).first() for f in frames]
+    lo, hi = min(e[0] for e in ends), max(e[1] for e in ends)
+    step, sizes = (hi - lo) // parts + 1, []
+    for i in range(parts + 1):
+        for frame, source in zip(frames, sources):
+            beat = [F.timestamp_micros(F.lit(hi + beat_days * 86400 * 1000000)).alias(c) if c == time else F.lit(None).cast(frame.schema[c].dataType).alias(c) for c in frame.columns]
+            some = frame.where((t >= lo + i * step) & (t < lo + (i + 1) * step)).orderBy(F.rand(i)) if i < parts else spark.range(1).select(*beat)
+            some.coalesce(1).write.mode("append").parquet(source)
+        query = run.drain(job(*[run.read_stream(spark, s, f.schema) for f, s in zip(frames, sources)]), out, checkpoint)
+        sizes.append([o["numRowsTotal"] for o in query.lastProgress["stateOperators"]] if query.lastProgress else None)
+    return spark.read.parquet(out).drop(run.BATCH), sizes
 
 
 def same(a, b):
@@ -36,32 +40,71 @@ def nulled(df):
     return df.withColumn("user_id", F.when(F.col("user_id") % 2 == 0, F.col("user_id")))
 
 
+def replay_input(tables):
+    return nulled(tables.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name"))
+
+
 def test_session_replay_over_several_deliveries(spark, tables):
-    recent = nulled(tables.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name"))
+    recent = replay_input(tables).withColumn("duration_sec", F.when(F.col("event_id") % 9 != 0, F.col("duration_sec")))
     empty = spark.createDataFrame([], "lookup_key string, rate double")
-    got = deliver(spark, recent, "played_at", stateful.session_replay(spark, scratch_path(spark, "replay"), empty, empty, 60))
+    got, sizes = deliver(spark, [recent], "played_at", lambda s: stateful.session_replay(s, empty, empty, 60))
     same(got, replay.session_replay_features(recent, empty, empty))
+    assert sizes[-1][0] <= 6  # all listeners are idle by then and forgotten; only the heartbeat's is left, if at all
 
 
 def test_mood_over_several_deliveries(spark, tables):
-    progress = nulled(tables.progress)
-    same(deliver(spark, progress, "poll_ts", stateful.mood(spark, scratch_path(spark, "mood"), 60)), replay.session_mood(progress))
-
-
-def test_late_rows_are_ignored_and_open_rows_stay_few(spark, tables):
-    recent = tables.recent_plays.select("user_id", "event_id", "played_at", "duration_sec", "song_name", "artist_name")
+    progress = nulled(tables.progress).withColumns(
+        {c: F.when(F.col("event_id") % k != 0, F.col(c)) for c, k in (("track_id", 11), ("progress_sec", 13), ("duration_sec", 17))}
+    )
+    got, _ = deliver(spark, [progress], "poll_ts", lambda s: stateful.mood(s, 60))
+    same(got, replay.session_mood(progress))
+
+
+def test_who_is_away_too_long_begins_anew(spark):
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [(1, 1, at(0), "a", 5.0, 200.0, "ACTIVE"), (1, 2, at(10), "b", 1.0, 200.0, "ACTIVE"), (2, 3, at(90_000), "z", 1.0, 9.0, "ACTIVE"), (1, 4, at(200_000), "b", 2.0, 200.0, "ACTIVE")]
+    polls_ = spark.createDataFrame(rows, "user_id long, event_id long, poll_ts timestamp, track_id string, progress_sec double, duration_sec double, status string")
+    flags = {}
+    for expire in (None, 3600):
+        got, _ = deliver(spark, [polls_], "poll_ts", lambda s, e=expire: stateful.mood(s, 60, e))
+        flags[expire] = {r.event_id: r.previous_song_skipped for r in got.collect()}
+    assert flags == {None: {1: 0, 2: 1, 3: 0, 4: 1}, 3600: {1: 0, 2: 1, 3: 0, 4: 0}}
+
+
+def test_idle_listeners_cost_nothing(spark, tables):
+    """State rows that a batch writes follow its own rows, not the listeners there are."""
+    recent = replay_input(tables).where("user_id IS NOT NULL").withColumn("played_at", F.date_trunc("hour", "played_at") + F.make_dt_interval(secs=F.col("event_id") % 60))
+    newest = recent.agg(F.max("played_at")).first()[0]
     empty = spark.createDataFrame([], "lookup_key string, rate double")
-    path = scratch_path(spark, "late-replay")
-    job = stateful.session_replay(spark, path, empty, empty, 0)
-    cut = recent.agg(F.median("event_id")).first()[0]
-    first, second = recent.where(F.col("event_id") <= cut), recent.where(F.col("event_id") > cut)
-    job(first, 0)
-    newest = first.agg(F.max("played_at")).first()[0]
-    again = first.where(F.col("played_at") < F.lit(newest)).limit(5)
-    job(second.unionAll(again), 1)
-    job.close(recent.schema)
-    assert job.result().count() == first.count() + second.where(F.col("played_at") >= F.lit(newest)).count()
-    assert spark.read.parquet(f"{path}/open/1").count() < recent.count() / 2
+    crowd = spark.range(3000).select((F.col("id") + 10_000).alias("user_id"), (F.col("id") + 1_000_000).alias("event_id"), F.lit(newest).alias("played_at"), F.lit(100.0).alias("duration_sec"), F.lit("s").alias("song_name"), F.lit("a").alias("artist_name"))
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("idle", "idle-out", "idle-chk"))
+    stream = lambda: stateful.session_replay(run.read_stream(spark, source, recent.schema), empty, empty, 0, 86400)
+    crowd.coalesce(1).write.mode("append").parquet(source)
+    run.drain(stream(), out, checkpoint)
+    later = crowd.limit(5).withColumns({"played_at": F.lit(newest + dt.timedelta(seconds=60)), "event_id": F.col("event_id") + 5_000_000})
+    later.coalesce(1).write.mode("append").parquet(source)
+    query = run.drain(stream(), out, checkpoint)
+    touched = [sum(o["numRowsUpdated"] + o["numRowsRemoved"] for o in p["stateOperators"]) for p in query.recentProgress]
+    total = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert total >= 3000 and 0 < sum(touched) < 100
+
+
+def test_outcomes_meet_predictions_of_another_stream(spark, tables):
+    p, o = nulled(tables.predictions), nulled(tables.outcomes)
+    got, _ = deliver(spark, [p, o], "made_at", lambda a, b: stateful.resolve(a, b, 0, None))
+    want = audit.resolve_outcomes(p, o)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_old_predictions_leave_the_state(spark):
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    p = spark.createDataFrame([(1, "s", "a", at(0), 1, 0.9, 0), (1, "s", "a", at(30), 2, 0.8, 0), (1, "x", "a", at(1), 3, 0.7, 0)], "user_id long, song_name string, artist_name string, made_at timestamp, event_id long, prob double, flagged int")
+    o = spark.createDataFrame([(1, "s", "a", at(26), 10, 5.0, 60.0, 1), (1, "s", "a", at(31), 11, 5.0, 60.0, 0), (1, "s", "a", at(32), 12, 5.0, 60.0, 0)], "user_id long, song_name string, artist_name string, made_at timestamp, event_id long, listen_sec double, total_sec double, was_skipped int")
+    got, sizes = deliver(spark, [p, o], "made_at", lambda a, b: stateful.resolve(a, b, 0, 86400))
+    rows = {r.outcome_id: (r.predicted_prob, r.risk_tier) for r in got.collect()}
+    # the first is 26 hours behind its prediction, the second took the newer one, the third finds none left
+    assert {k: v[0] for k, v in rows.items()} == {10: X.COLD_START_PROB, 11: 0.8, 12: X.COLD_START_PROB} and rows[10][1] == "UNKNOWN"
+    assert sum(sizes[-1]) <= 4  # the heartbeats'
 
 
 def polls(spark, *plays):
