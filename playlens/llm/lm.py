@@ -21,10 +21,12 @@ ORDERS = (1, 2, 3, 4, 5)
 #: A predictor has 2**bits hashed contexts, a slot for some 64 bytes of training text. The model goes to every task, so no more than
 #: MOST_BITS: 20 MB in all. Beyond that contexts share slots; counts still come from all the text.
 LEAST_BITS, MOST_BITS, BYTES_A_SLOT = 16, 21, 64
-#: Bytes of text between two updates of the contexts, different places in one step of the weights, and bytes of text in a shard.
-BLOCK, STEP, SHARD = 4 << 20, 1 << 16, 16 << 20
+#: Bytes of text between two updates of the contexts (the first, and at most: they double), different places in one step of the weights, and
+#: bytes of text in a shard.
+FIRST_BLOCK, BLOCK, STEP, SHARD = 1 << 16, 8 << 20, 1 << 15, 16 << 20
 #: Counts that a context has of either bit before it was seen; the same for the refinement; how far a step of the weights goes.
-PRIOR, REFINE_PRIOR, RATE = 0.4, 8.0, 0.5
+PRIOR, REFINE_PRIOR, RATE = 0.4, 8.0, 0.3
+LEAST_CURVE = 1 / 128  # of a bit, for the steps
 #: The refinement has a row for each start of a byte and LEVELS - 1 steps of the mixed prediction between -LIMIT and LIMIT (log odds).
 LEVELS, LIMIT = 33, 12.0
 END = b"\xff"  # in no UTF-8 text: makes the probabilities of all texts add up to one
@@ -35,9 +37,8 @@ _M = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
-def places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different (context, byte) of the texts as numbers, for each byte which one it is, and where each text starts. A text begins
-    after zeros and ends with END."""
+def places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(context, byte) of each byte of the texts as a number, and where each text starts. A text begins after zeros and ends with END."""
     lead = bytes(_LONGEST)
     raw = np.frombuffer(lead + lead.join(t + END for t in texts), np.uint8)
     key = np.zeros(len(raw) - _LONGEST, np.uint64)
@@ -47,21 +48,36 @@ def places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     own = np.ones(len(key), bool)  # not the zeros between texts
     starts = np.cumsum(sizes + _LONGEST)[:-1] - _LONGEST
     own[(starts[:, None] + np.arange(_LONGEST)).ravel()] = False
-    which, different = pd.factorize(key[own])
-    return different, which, np.cumsum(sizes) - sizes
-
-
-def _bit(keys: np.ndarray, j: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of bit ``j`` of the last byte: the byte's start before it (with a leading one), the bit, and each order's slot."""
-    byte = (keys & np.uint64(255)).astype(np.int64)
-    node = (1 << j) | (byte >> (8 - j))
-    slots = np.empty((len(ORDERS), len(keys)), np.int64)
-    above = node.astype(np.uint64) << np.uint64(48)
+    return key[own], np.cumsum(sizes) - sizes
+
+
+def _levels(keys: np.ndarray, times: np.ndarray | None = None) -> list[tuple[np.ndarray, ...]]:
+    """For each bit of a byte, first to last, the different (context, bits before it); of the next level's, which of these each one
+    continues; and, with ``times``, how often a zero and a one come. Keys are sorted and different: what they share is predicted once."""
+    out = []
+    for _ in range(8):
+        above = keys >> np.uint64(1)
+        fresh = np.flatnonzero(np.r_[True, above[1:] != above[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        parent = np.repeat(np.arange(len(fresh)), np.diff(np.r_[fresh, len(keys)]))
+        if times is None:
+            out.append((above[fresh], parent, (keys & np.uint64(1)) == 1))
+        else:
+            ones = np.add.reduceat(np.where(keys & np.uint64(1), times, 0), fresh) if len(keys) else times
+            times = np.add.reduceat(times, fresh) if len(keys) else times
+            out.append((above[fresh], times - ones, ones))
+        keys = above[fresh]
+    return out[::-1]
+
+
+def _slots(some: np.ndarray, j: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of (context, the ``j`` bits before): these bits after a leading one, and each order's slot."""
+    node = (some & np.uint64((1 << j) - 1)) | np.uint64(1 << j)
+    slots = np.empty((len(ORDERS), len(some)), np.int32)
+    context = some >> np.uint64(j)
     for i, k in enumerate(ORDERS):
-        context = (keys >> np.uint64(8)) & np.uint64((1 << 8 * k) - 1)
-        x = (context | np.uint64(k) << np.uint64(40)) ^ above
-        slots[i] = ((x * _M) >> np.uint64(64 - bits)).astype(np.int64) + (i << bits)
-    return node, (byte >> (7 - j)) & 1, slots
+        x = (context & np.uint64((1 << 8 * k) - 1)) | (node << np.uint64(48)) ^ np.uint64(k << 40)
+        slots[i] = ((x * _M) >> np.uint64(64 - bits)).astype(np.int32) + (i << bits)
+    return node.astype(np.int64), slots
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
@@ -87,8 +103,9 @@ class Mixer:
 
     def mixed(self, votes: np.ndarray, node: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(gate, log odds, its place in the refinement, the share of the next place, probability of a one) from the predictors' log odds."""
-        gate = (votes != 0).sum(0) * 8 + j
-        x = np.einsum("ku,uk->u", votes, self.weights[gate]).clip(-LIMIT + 1e-4, LIMIT - 1e-4)
+        gate = np.count_nonzero(votes, axis=0) * 8 + j
+        weights = self.weights.T.astype(np.float32)
+        x = sum(v * w[gate] for v, w in zip(votes, weights)).astype(np.float64).clip(-LIMIT + 1e-4, LIMIT - 1e-4)
         at = (x + LIMIT) * ((LEVELS - 1) / (2 * LIMIT))
         low = at.astype(np.int64)
         part = at - low
@@ -96,20 +113,20 @@ class Mixer:
         p = 0.5 * _squash(x) + 0.5 * ((1 - part) * self.refined[low] + part * self.refined[low + 1])
         return gate, x, low, part, p
 
-    def learn(self, votes: np.ndarray, gate: np.ndarray, x: np.ndarray, low: np.ndarray, part: np.ndarray, bit: np.ndarray, times: np.ndarray) -> None:
-        p = _squash(x)
-        error, bend = times * (bit - p), times * p * (1 - p)
+    def learn(self, votes: np.ndarray, gate: np.ndarray, x: np.ndarray, low: np.ndarray, part: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> None:
+        p, n = _squash(x), zeros + ones
+        # what is as good as certain must not drive the weights: its curvature says next to nothing
+        error, bend = ones - n * p, n * np.maximum(p * (1 - p), LEAST_CURVE)
         for i, v in enumerate(votes):
-            step = np.bincount(gate, error * v, _GATES)
-            more = np.bincount(gate, bend * v * v, _GATES)
-            self.curve[:, i] += more
+            by_error, by_bend = error * v, bend * v * v
+            self.curve[:, i] += np.bincount(gate, by_bend, _GATES)
             # a damped Newton step; kept as weight times curvature, so that tasks' weights average by how much they have seen
-            w = self.weights[:, i] + RATE * step / (self.curve[:, i] + 5.0)
+            w = self.weights[:, i] + RATE * np.bincount(gate, by_error, _GATES) / (self.curve[:, i] + 5.0)
             self.weighted[:, i] = w * (self.curve[:, i] + 5.0) - 2.0
         self.weights = (self.weighted + 2.0) / (self.curve + 5.0)
         for at, share in ((low, 1 - part), (low + 1, part)):
-            self.ones += np.bincount(at, times * share * bit, len(self.ones))
-            self.all += np.bincount(at, times * share, len(self.all))
+            self.ones += np.bincount(at, share * ones, len(self.ones))
+            self.all += np.bincount(at, share * n, len(self.all))
 
 
 class Learner:
@@ -120,22 +137,23 @@ class Learner:
         self.counts = np.zeros((len(ORDERS) << bits, 2), np.float32)
 
     def block(self, texts: list[bytes]) -> None:
-        keys, which, _ = places(texts)
-        times = np.bincount(which, minlength=len(keys)).astype(np.float64)
-        for lo in range(0, len(keys), STEP):
-            some, n = keys[lo : lo + STEP], times[lo : lo + STEP]
-            for j in range(8):
-                node, bit, slots = _bit(some, j, self.bits)
+        keys, times = np.unique(places(texts)[0], return_counts=True)
+        seen = []
+        for j, (some, zeros, ones) in enumerate(_levels(keys, times.astype(np.float64))):
+            for lo in range(0, len(some), STEP):
+                at = slice(lo, lo + STEP)
+                node, slots = _slots(some[at], j, self.bits)
                 c = self.counts[slots]
                 votes = np.log((c[..., 1] + PRIOR) / (c[..., 0] + PRIOR))
                 gate, x, low, part, _ = self.mixer.mixed(votes, node, j)
-                self.mixer.learn(votes, gate, x, low, part, bit, n)
-            self.mixer.settle()
-        flat, times = self.counts.reshape(-1), times.astype(np.float32)
-        for j in range(8):
-            _, bit, slots = _bit(keys, j, self.bits)
+                self.mixer.learn(votes, gate, x, low, part, zeros[at], ones[at])
+                seen.append((slots, zeros[at], ones[at]))
+                self.mixer.settle()
+        both = self.counts.view(np.complex64)[:, 0]
+        for slots, zeros, ones in seen:
+            more = (zeros + 1j * ones).astype(np.complex64)
             for s in slots:
-                np.add.at(flat, s * 2 + bit, times)
+                np.add.at(both, s, more)
 
     def parts(self) -> Iterator[tuple[int, bytes]]:
         """(segment, contents) of what was gathered: the slots in use with their counts, a plane for each byte of a count; then the mixer."""
@@ -151,18 +169,18 @@ class Learner:
 
 def _learned(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, held, size, any_ = Learner(bits), [], 0, False
+        learner, held, size, most = None, [], 0, FIRST_BLOCK
         for b in batches:
             for t in b.column(0).to_pylist():
+                learner = learner or Learner(bits)
                 held.append((t or "").encode())
                 size += len(held[-1])
-                if size >= BLOCK:
+                if size >= most:
                     learner.block(held)
-                    held, size = [], 0
-                any_ = True
+                    held, size, most = [], 0, min(2 * most, BLOCK)
         if held:
             learner.block(held)
-        for s, data in learner.parts() if any_ else ():
+        for s, data in learner.parts() if learner else ():
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([data], pa.binary())], names=["s", "data"])
 
     return run
@@ -208,24 +226,29 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if k != "mixer"}
 
     def bits_of(self, keys: np.ndarray) -> np.ndarray:
-        """How many bits each (context, byte) takes."""
+        """How many bits each of the sorted, different (context, byte) takes."""
         if not hasattr(self, "mixer"):
             self.mixer = Mixer(self.state)
-        out = np.zeros(len(keys))
-        for lo in range(0, len(keys), STEP):
-            some = keys[lo : lo + STEP]
-            for j in range(8):
-                node, bit, slots = _bit(some, j, self.bits)
-                p = self.mixer.mixed(self.votes[slots].astype(np.float32), node, j)[-1]
-                out[lo : lo + STEP] -= np.log2(np.where(bit, p, 1 - p))
+        out = None
+        for j, (some, parent, bit) in enumerate(_levels(keys)):
+            p = np.empty(len(some))
+            for lo in range(0, len(some), STEP):
+                node, slots = _slots(some[lo : lo + STEP], j, self.bits)
+                p[lo : lo + STEP] = self.mixer.mixed(self.votes[slots].astype(np.float32), node, j)[-1]
+            cost = np.zeros(len(some)) if out is None else out
+            out = cost[parent] - np.where(bit, np.log2(p)[parent], np.log2(1 - p)[parent])
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """log10 of the probability of each text, whole, with its end."""
         if not texts:
             return np.zeros(0)
-        keys, which, starts = places(texts)
-        return -np.add.reduceat(self.bits_of(keys)[which], starts) * log10(2)
+        keys, starts = places(texts)
+        which, different = pd.factorize(keys)
+        order = np.argsort(different)
+        bits = np.empty(len(different))
+        bits[order] = self.bits_of(different[order])
+        return -np.add.reduceat(bits[which], starts) * log10(2)
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -264,8 +287,8 @@ class _Shard:
     def __init__(self, n: int):
         self.n, self.rows, self.scores, self.sizes, self.held, self.lens, self.words, self.bytes = n, [], [], [], [], [], [], 0
 
-    def add(self, rows: pa.StructArray, held: list[bool], texts: list[bytes], scores: np.ndarray) -> None:
-        self.rows.append(rows)
+    def add(self, rows: list[pa.StructArray], held: list[bool], texts: list[bytes], scores: np.ndarray) -> None:
+        self.rows += rows
         self.held += held
         self.scores.append(scores)
         for t in texts:
@@ -306,21 +329,24 @@ def _sharded(shared, keep: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, task, made = shared.value, TaskContext.get().partitionId(), 0
         now = _Shard(task << 32)
+        rows, held, texts, n = [], [], [], 0
         for b in batches:
             own = pa.StructArray.from_arrays([b.column(i) for i in range(keep)], names=[f"c{i}" for i in range(keep)])
-            held, texts = b.column(keep).to_pylist(), [(t or "").encode() for t in b.column(keep + 1).to_pylist()]
             lo = 0
-            while lo < len(texts):
-                hi, n = lo, 0
-                while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= BLOCK):
-                    n += len(texts[hi])
-                    hi += 1
-                now.add(own.slice(lo, hi - lo), held[lo:hi], texts[lo:hi], model.score(texts[lo:hi]))
-                lo = hi
-                if now.bytes >= size:
-                    yield pa.RecordBatch.from_arrays(now.row(), names=_SHARD)
-                    made += 1
-                    now = _Shard((task << 32) + made)
+            for i, (h, t) in enumerate(zip(b.column(keep).to_pylist(), b.column(keep + 1).to_pylist())):
+                held.append(h), texts.append((t or "").encode())
+                n += len(texts[-1])
+                if n >= BLOCK:
+                    now.add([*rows, own.slice(lo, i + 1 - lo)], held, texts, model.score(texts))
+                    lo, rows, held, texts, n = i + 1, [], [], [], 0
+                    if now.bytes >= size:
+                        yield pa.RecordBatch.from_arrays(now.row(), names=_SHARD)
+                        made += 1
+                        now = _Shard((task << 32) + made)
+            if lo < len(own):
+                rows.append(own.slice(lo))
+        if texts:
+            now.add(rows, held, texts, model.score(texts))
         if now.lens:
             yield pa.RecordBatch.from_arrays(now.row(), names=_SHARD)
 
