@@ -124,14 +124,17 @@ def momentum(rows: OrderedRows) -> OrderedRows:
     rows = rows.running(
         {"_prev": lag_struct("t_us", "is_skip"), "_last_skip_index": r_max(F.when(F.col("is_skip") == 1, F.col("_index")))}
     )
+    return rows.with_columns(momentum_columns())
+
+
+def momentum_columns() -> dict[str, Column]:
+    """From the previous play ``_prev`` and the number ``_last_skip_index`` of the last skip among the plays."""
     gap = F.col("t_us") - F.col("_prev.t_us")
-    return rows.with_columns(
-        {
-            "previous_song_skipped": F.coalesce(F.col("_prev.is_skip"), F.lit(0)),
-            "consecutive_listens_streak": F.col("past_plays") - F.coalesce("_last_skip_index", F.lit(0)),
-            "is_session_start": F.coalesce((gap > 1200 * US).cast("int"), F.lit(1)),
-        }
-    )
+    return {
+        "previous_song_skipped": F.coalesce(F.col("_prev.is_skip"), F.lit(0)),
+        "consecutive_listens_streak": F.col("past_plays") - F.coalesce("_last_skip_index", F.lit(0)),
+        "is_session_start": F.coalesce((gap > 1200 * US).cast("int"), F.lit(1)),
+    }
 
 
 def momentum_features(plays: DataFrame) -> DataFrame:
@@ -164,15 +167,23 @@ def last_skip(plays: DataFrame) -> DataFrame:
 
 def feature_matrix(plays: DataFrame, extra_windows_sec: dict[str, int] | None = None) -> DataFrame:
     """All features in one pass: one exchange on the user, then windows that differ in sort only."""
-    windows = {"skips_last_3m": 180, "skips_last_15m": 900, **(extra_windows_sec or {})}
+    windows = {**MATRIX_WINDOWS, **(extra_windows_sec or {})}
     base = {"past_plays": r_count(), "past_skips": r_sum(F.col("is_skip"))}
     # the plain user windows come last, next to those of the later steps, which share their sort
     rows = ordered_plays(labelled(plays), sized_by=plays).running_many([*entity_history(ENTITY_KEYS), ((), base)])
     rows = look_back(momentum(rows), windows)
+    return rows.with_columns(matrix_columns()).rows(matrix_names(windows))
+
+
+MATRIX_WINDOWS = {"skips_last_3m": 180, "skips_last_15m": 900}
+
+
+def matrix_columns() -> dict[str, Column]:
+    """What follows from the play itself and the running counts of its user and entities."""
     prior = prior_rate(F.col("past_skips"), F.col("past_plays"))
     ts, hour = "time_stamp", F.hour("time_stamp")
     platform = X.platform_family("platform")
-    columns = {
+    return {
         "hour_of_day": hour,
         "day_of_week": F.weekday(ts),
         "day_of_month": F.dayofmonth(ts),
@@ -185,11 +196,13 @@ def feature_matrix(plays: DataFrame, extra_windows_sec: dict[str, int] | None =
         **{f"platform_{n}": (platform == n).cast("int") for n in ("android", "windows", "linux")},
         "shuffle_mode": X.flag("shuffle"),
     }
-    keep = [
-        "user_id", "event_id", ts, "is_skip", *columns, "previous_song_skipped", "consecutive_listens_streak",
+
+
+def matrix_names(windows: Sequence[str]) -> list[str]:
+    return [
+        "user_id", "event_id", "time_stamp", "is_skip", *matrix_columns(), "previous_song_skipped", "consecutive_listens_streak",
         "seconds_since_last_skip", *windows, "is_session_start",
     ]
-    return rows.with_columns(columns).rows(keep)
 
 
 def ensure_features(df: DataFrame) -> DataFrame:

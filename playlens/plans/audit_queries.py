@@ -7,6 +7,8 @@ from playlens.operators import audit, replay
 from playlens.plans.enrich_queries import JOINED, LOOKUPS, lookups, with_new_names
 from playlens.plans.oracle import rnd, with_views
 from playlens.plans.registry import add
+from playlens.session import scratch_path
+from playlens.sources import readers
 
 O = "(PARTITION BY user_id ORDER BY t, event_id)"
 CUTOFF = "CASE WHEN {d} > 15 THEN greatest(10.0, {d} - 10.0) ELSE {short} END"
@@ -254,3 +256,28 @@ add(
         "CASE WHEN status = 'RESOLVED' THEN 'x' END AS album_name FROM audit",
     ),
 )
+
+
+def generations(t):
+    """Three generations of the audit table: the second has more columns and lacks one, the third has wider ones."""
+    a, path = t.audit, scratch_path(t.spark, "audit-generations")
+    parts = [
+        a.where("event_id % 3 = 0").select(F.col("event_id").cast("int").alias("event_id"), "song_name", F.col("predicted_prob").cast("float").alias("predicted_prob"), "status"),
+        a.where("event_id % 3 = 1").select(F.col("event_id").cast("int").alias("event_id"), F.col("predicted_prob").cast("float").alias("predicted_prob"), "status", "played_at"),
+        a.where("event_id % 3 = 2").select("event_id", "song_name", "predicted_prob", "status", "played_at", "cdn_mb_saved"),
+    ]
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{path}/{i}")
+    out = readers.read_generations(t.spark, *[f"{path}/{i}" for i in range(3)])
+    return out.withColumn("predicted_prob", X.round_even("predicted_prob", 4))
+
+
+add(
+    "audit_read_generations",
+    generations,
+    with_views(
+        "audit",
+        f"SELECT event_id, CASE WHEN event_id % 3 <> 1 THEN song_name END AS song_name, {rnd('predicted_prob', 4)} AS predicted_prob, status, "
+        "CASE WHEN event_id % 3 > 0 THEN played_at END AS played_at, CASE WHEN event_id % 3 = 2 THEN cdn_mb_saved END AS cdn_mb_saved FROM audit",
+    ),
+)

@@ -7,7 +7,8 @@ from playlens.operators import clean, quality
 from playlens.plans.engagement_queries import FAMILY
 from playlens.plans.oracle import HOUR, MONTH, OUTCOME, SEASON, TOKEN, WEEKDAY, YEAR, duration, rnd, with_views
 from playlens.plans.registry import add
-from playlens.sources import readers
+from playlens.session import scratch_path
+from playlens.sources import readers, sinks
 
 ID = "user_id, event_id"
 
@@ -23,6 +24,20 @@ add(
     lambda t: readers.filtered_history(t.table("orders"), "o_orderdate", 1997, "2000-09-24").select("o_orderkey", "o_orderdate"),
     "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '2000-09-24'",
 )
+
+
+def by_year(t):
+    """The history table as the sink lays it out, and only the years asked for."""
+    path = scratch_path(t.spark, "history")
+    sinks.overwrite_table(t.table("orders").select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("year")), path)
+    return readers.filtered_history(t.spark.read.parquet(path), "o_orderdate", 1997, "2000-09-24", "year").select("o_orderkey", "o_orderdate")
+
+
+add(
+    "scan_filtered_years",
+    by_year,
+    "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '2000-09-24'",
+)
 add(
     "union_files",
     lambda t: readers.union_sources(

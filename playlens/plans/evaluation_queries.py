@@ -460,6 +460,44 @@ def importance_checks(t):
     return found.select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
+# --- training on a planted rule: what the learner must find is known, so its decisions are compared one by one --
+def planted(t, fit, name):
+    """Confusion counts on the later fold of a learner whose labels follow a rule: plays in shuffle mode are the skipped ones."""
+    train, test = (d.withColumn("is_skip", F.col("shuffle_mode")) for d in folds(t))
+    scored = models.score(fit(train), test, name)
+    says = (F.col("score") >= 0.5).cast("int")
+    return scored.groupBy("model").agg(*[F.count_if((F.col("label") == a) & (says == b)).alias(f"label_{a}_says_{b}") for a in (0, 1) for b in (0, 1)])
+
+
+def planted_sql(name):
+    found = ", ".join(f"count(*) FILTER (WHERE shuffle = {a} AND {a} = {b}) AS label_{a}_says_{b}" for a in (0, 1) for b in (0, 1))
+    return with_views("plays", f"SELECT '{name}' AS model, {found} FROM later", **LATER)
+
+
+add("train_forest_rule", lambda t: planted(t, lambda d: models.train_forest(d, trees=20, depth=6), "forest"), planted_sql("forest"))
+add("train_boosted_rule", lambda t: planted(t, lambda d: models.train_boosted(d, SMALL), "champion"), planted_sql("champion"))
+
+
+def planted_importance(t):
+    """The most important feature of a forest that has learned the rule."""
+    train = folds(t)[0].withColumn("is_skip", F.col("shuffle_mode"))
+    found = models.importances(models.train_forest(train, trees=20, depth=6))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("importance"))  # one row per feature
+    return found.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("feature", "rank")
+
+
+TELLING = {"shuffle_mode": "shuffle", "hour_of_day": "hour(time_stamp)", "day_of_week": "isodow(time_stamp)", "platform_windows": "CAST(user_id % 7 = 1 AS INTEGER)"}
+add(
+    "feature_importance_rule",
+    planted_importance,
+    # the column that goes with the label most closely
+    with_views(
+        "plays",
+        "SELECT feature, 1 AS rank FROM c ORDER BY abs(r) DESC LIMIT 1",
+        c=" UNION ALL ".join(f"SELECT '{n}' AS feature, corr({x}, shuffle) AS r FROM plays" for n, x in TELLING.items()),
+    ),
+)
+
 FEATURE_LIST = ", ".join(f"'{c}'" for c in features.FEATURE_COLUMNS)
 add("feature_importance", importance_checks, f"SELECT unnest([{FEATURE_LIST}]) AS feature, true AS in_range, true AS sums_to_one")
 

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from playlens.functions import exprs as X
 from playlens.operators import features
 from playlens.operators.asof import asof_join
+from playlens.operators.feature_store import FeatureStore
 from playlens.plans.engagement_queries import FAMILY
 from playlens.plans.oracle import HOUR, WEEKDAY, YEAR, rnd, with_views
 from playlens.plans.registry import add
+from playlens.session import scratch_path
 
 ORD = "ORDER BY time_stamp, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 KEYS = {
@@ -260,6 +262,22 @@ for name, view in (("feature_matrix", "plays"), ("feature_matrix_long", "plays_l
         lambda t, v=view: rounded(features.feature_matrix(getattr(t, v), {"skips_last_24h": 86400}), *REAL),
         matrix_sql(view),
     )
+
+
+def daily_features(t, view, batches=3):
+    """The matrix by way of the feature store: the history comes in batches, and each reads its own plays and the carry."""
+    plays = getattr(t, view)
+    store = FeatureStore(t.spark, scratch_path(t.spark, "feature-store"), {"skips_last_24h": 86400})
+    at = F.unix_micros("time_stamp")
+    lo, hi = plays.agg(F.min(at), F.max(at)).first()
+    part = F.floor((at - lo) * batches / (hi - lo + 1))
+    for i in range(batches):
+        store.append(plays.where(part == i), i)
+    return rounded(store.features(), *REAL)
+
+
+add("feature_store_batches", lambda t: daily_features(t, "plays"), matrix_sql("plays"))
+add("feature_store_batches_long", lambda t: daily_features(t, "plays_long"), matrix_sql("plays_long"))
 add(
     "feature_presence_gate",
     lambda t: rounded(features.ensure_features(t.plays).select("user_id", "event_id", *features.FEATURE_COLUMNS[:2]), *features.FEATURE_COLUMNS[:2]),

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playlens.sources import schemas
 
@@ -38,9 +39,39 @@ def common_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
 
-def filtered_history(df: DataFrame, ts: str, min_year: int, before: str) -> DataFrame:
-    """Rows from ``min_year`` on and before a cut. Plain range predicates, so they reach the scan."""
-    return df.where((F.col(ts) >= F.lit(f"{min_year}-01-01").cast("timestamp_ntz")) & (F.col(ts) < F.lit(before).cast("timestamp_ntz")))
+def filtered_history(df: DataFrame, ts: str, min_year: int, before: str, year: str | None = None) -> DataFrame:
+    """Rows from ``min_year`` on and before a cut. Plain range predicates, so they reach the scan. ``year``: the column by whose values
+    the table is laid out, the year of ``ts``; the same range as years leaves the other folders unread. A row without a time is in
+    neither range."""
+    rows = df.where((F.col(ts) >= F.lit(f"{min_year}-01-01").cast("timestamp_ntz")) & (F.col(ts) < F.lit(before).cast("timestamp_ntz")))
+    return rows if year is None else rows.where((F.col(year) >= min_year) & (F.col(year) <= int(before[:4])))
+
+
+# --- generations of one table ---------------------------------------------------------------------
+#: Kinds that hold all values of those before them.
+_WIDER = ([T.ByteType, T.ShortType, T.IntegerType, T.LongType], [T.FloatType, T.DoubleType], [T.ByteType, T.ShortType, T.IntegerType, T.DoubleType], [T.DateType, T.TimestampNTZType])
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The kind that holds the values of both; a ValueError if none does."""
+    if a == b:
+        return a
+    for kinds in _WIDER:
+        if type(a) in kinds and type(b) in kinds:
+            return max(a, b, key=lambda k: kinds.index(type(k)))
+    raise ValueError(f"{a.simpleString()} and {b.simpleString()} have no common kind")
+
+
+def read_generations(spark: SparkSession, *paths: str) -> DataFrame:
+    """One table from Parquet folders written at different times, oldest first: later ones may have more, fewer or wider columns. Columns
+    stand in the order in which they first appear and are null where a generation lacks them. One schema is read from each
+    folder, and all files in a single scan."""
+    merged: dict[str, T.StructField] = {}
+    for path in paths:
+        for f in spark.read.parquet(path).schema:
+            known = merged.get(f.name.lower())
+            merged[f.name.lower()] = T.StructField(f.name if known is None else known.name, f.dataType if known is None else wider(known.dataType, f.dataType))
+    return spark.read.schema(T.StructType(list(merged.values()))).parquet(*paths)
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:

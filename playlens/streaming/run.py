@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
 from playlens.operators.enrich import new_events
 from playlens.session import scratch_path
 
 BATCH = "batch_id"
 DAY = "day"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a missing day
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -32,23 +32,30 @@ def write_batch(path: str):
 def append_once(path: str, keys: list[str], time: str):
     """Like `write_batch`, and records whose key an earlier batch already stored are left out.
 
-    Files are laid out by the day of ``time`` (one of the keys) and a batch is compared only with the days
-    it touches, so the cost follows the look-back of the polls and not the age of the table."""
+    Files lie by the day of ``time`` (one of the keys), then by batch. A batch lists and reads only the folders of the days that it
+    holds itself, so its cost follows the look-back of the polls and neither the age of the table nor its number of batches."""
 
     def sink(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
         fresh = df.dropDuplicates(keys).withColumn(DAY, F.to_date(time))
-        span = fresh.agg(F.min(DAY).alias("lo"), F.max(DAY).alias("hi")).first()
-        try:
-            stored = df.sparkSession.read.parquet(path).where(F.col(DAY).between(span["lo"], span["hi"]) | F.col(DAY).isNull())
-            fresh = new_events(fresh, stored.where(F.col(BATCH) != batch_id), keys)
-        except AnalysisException as empty:
-            if empty.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-        fresh.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/{BATCH}={batch_id}")
+        days = [r[0] for r in fresh.select(F.coalesce(F.col(DAY).cast("string"), F.lit(NO_DAY))).distinct().collect()]
+        stored = existing(spark, [f"{path}/{DAY}={d}" for d in days])
+        if stored:
+            kept = spark.read.schema(StructType([*df.schema, StructField(DAY, DateType()), StructField(BATCH, LongType())])).option("basePath", path).parquet(*stored)
+            fresh = new_events(fresh, kept.where(F.col(BATCH) != batch_id), keys)
+        # only the batch's own folders are replaced
+        rows = fresh.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(path)
 
     return sink
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = [(p, jvm.org.apache.hadoop.fs.Path(p)) for p in paths]
+    return [p for p, x in at if x.getFileSystem(conf).exists(x)]
+
+
 def state_partitions(spark: SparkSession) -> int:
     """Every state partition is an open store. Twice the cores keeps all of them busy; a session that asks
     for fewer shuffle partitions, or sets ``playlens.stream.partitions``, decides itself."""
