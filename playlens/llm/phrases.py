@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from playlens.llm.common import LOWER, UPPER, checkpointed
 
 #: Bytes of text in a shard: what one task mines in memory. A longer text goes on in the next shard, cut between two pieces.
-SHARD = 16 << 20
+SHARD = 2 << 20
+#: Parts that a lang's phrases are ranked in before the best of each are ranked together.
+PARTS = 64
 #: Phrases of a bin, about: what one task holds while it sums up the shards' counts.
 BIN = 1 << 20
 # What parts a text into pieces, and what parts a piece into words.
@@ -44,6 +46,16 @@ def numbered(text: bytes) -> tuple[np.ndarray, list[bytes]]:
     return ids[ids != -2], list(numbers)[2:]
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """The lower two bytes of the numbers plus one, then the upper two: these are nearly all zero and take no room once compressed."""
+    return np.ascontiguousarray((ids + 1).astype("<u4").view("<u2").reshape(-1, 2).T).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int32)
+    return (low | high << 16) - 1
+
+
 def _shards(size: int):
     """Texts of one task by lang, in shards: (shard, lang, n, ids, words)."""
 
@@ -58,7 +70,7 @@ def _shards(size: int):
             sizes.pop(lang)
             made += 1
             kinds = [("shard", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("ids", pa.binary()), ("words", pa.list_(pa.binary()))]
-            values = [(task << 32) + made - 1, lang, int((ids >= 0).sum()), ids.tobytes(), words]
+            values = [(task << 32) + made - 1, lang, int((ids >= 0).sum()), packed(ids), words]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, (_, k) in zip(values, kinds)], names=[k for k, _ in kinds])
 
         for b in batches:
@@ -82,6 +94,12 @@ def _shards(size: int):
     return run
 
 
+def _rows(b: pa.RecordBatch) -> Iterator[list]:
+    """One at a time: rows of shards are large."""
+    for i in range(b.num_rows):
+        yield [c[i].as_py() for c in b.columns]
+
+
 def _hashed(lang: str, ids: np.ndarray, words: list[bytes], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(words in a phrase, places where one starts, their 64-bit hashes). Equal phrases of a lang have equal hashes in all shards."""
     own = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
@@ -107,9 +125,9 @@ def _mined(longest: int, support: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for shard, lang, ids, words, n, total, bins in zip(*(b.column(k).to_pylist() for k in range(7))):
+            for shard, lang, ids, words, n, total, bins in _rows(b):
                 least = lowered(support, n, total)
-                every = np.concatenate([h for _, _, h in _hashed(lang, np.frombuffer(ids, np.int32), words, longest)])
+                every = np.concatenate([h for _, _, h in _hashed(lang, unpacked(ids), words, longest)])
                 u, count = np.unique(every, return_counts=True)
                 some = count >= least
                 u, count = u[some], np.minimum(count[some] - (least - 1), support).astype(np.uint8 if support < 256 else np.uint32)
@@ -173,10 +191,10 @@ def _counted(longest: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lang, ids, words, bins, asked in zip(*(b.column(k).to_pylist() for k in range(5))):
+            for lang, ids, words, bins, asked in _rows(b):
                 want = {r["bin"]: np.frombuffer(r["h"], np.uint32) for r in asked}
                 keys = np.sort(np.concatenate([(np.uint64(k) << np.uint64(32)) | h.astype(np.uint64) for k, h in want.items()]))
-                ids = np.frombuffer(ids, np.int32)
+                ids = unpacked(ids)
                 for n, places, h in _hashed(lang, ids, words, longest):
                     key = (binned(h, bins).astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
                     places = places[keys[np.searchsorted(keys, key).clip(max=len(keys) - 1)] == key]
@@ -251,6 +269,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longes
         over = reduce(DataFrame.unionAll, holds).groupBy("lang", "held").agg(F.max("a").alias("most"))
         best = best.join(over.select(F.col("lang").alias("of"), "held", "most"), (F.col("lang") == F.col("of")) & (F.col("phrase") == F.col("held")), "left")
         best = best.where(F.coalesce(100 * F.col("most").cast("decimal(20,0)") < absorb * F.col("a").cast("decimal(20,0)"), F.lit(True)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    first = best.withColumn("rank", place("lang", part)).where(F.col("rank") <= top)
+    first = first.withColumn("rank", place("lang").cast("long")).where(F.col("rank") <= top)
     return first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
