@@ -23,7 +23,7 @@ ORDERS = (1, 2, 3, 4, 5)
 LEAST_BITS, MOST_BITS, BYTES_A_SLOT = 16, 21, 64
 #: Bytes of text between two updates of the contexts (the first, and at most: they double), different places in one step of the weights, and
 #: bytes of text in a shard.
-FIRST_BLOCK, BLOCK, STEP, SHARD = 1 << 16, 8 << 20, 1 << 15, 16 << 20
+FIRST_BLOCK, BLOCK, STEP, SHARD = 1 << 18, 6 << 20, 1 << 15, 12 << 20
 #: Counts that a context has of either bit before it was seen; the same for the refinement; how far a step of the weights goes.
 PRIOR, REFINE_PRIOR, RATE = 0.4, 8.0, 0.3
 LEAST_CURVE = 1 / 128  # of a bit, for the steps
@@ -138,18 +138,17 @@ class Learner:
 
     def block(self, texts: list[bytes]) -> None:
         keys, times = np.unique(places(texts)[0], return_counts=True)
-        seen = []
+        both, seen = self.counts.view(np.complex64)[:, 0], []  # zeros and ones of a slot side by side
         for j, (some, zeros, ones) in enumerate(_levels(keys, times.astype(np.float64))):
             for lo in range(0, len(some), STEP):
                 at = slice(lo, lo + STEP)
                 node, slots = _slots(some[at], j, self.bits)
-                c = self.counts[slots]
-                votes = np.log((c[..., 1] + PRIOR) / (c[..., 0] + PRIOR))
+                c = both[slots]
+                votes = np.log((c.imag + PRIOR) / (c.real + PRIOR))
                 gate, x, low, part, _ = self.mixer.mixed(votes, node, j)
                 self.mixer.learn(votes, gate, x, low, part, zeros[at], ones[at])
                 seen.append((slots, zeros[at], ones[at]))
                 self.mixer.settle()
-        both = self.counts.view(np.complex64)[:, 0]
         for slots, zeros, ones in seen:
             more = (zeros + 1j * ones).astype(np.complex64)
             for s in slots:
@@ -223,18 +222,18 @@ class Model:
         self.bits, self.votes, self.state = bits, votes, state
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "mixer"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("mixer", "wide")}
 
     def bits_of(self, keys: np.ndarray) -> np.ndarray:
         """How many bits each of the sorted, different (context, byte) takes."""
-        if not hasattr(self, "mixer"):
-            self.mixer = Mixer(self.state)
+        if not hasattr(self, "mixer"):  # once a worker
+            self.mixer, self.wide = Mixer(self.state), self.votes.astype(np.float32)
         out = None
         for j, (some, parent, bit) in enumerate(_levels(keys)):
             p = np.empty(len(some))
             for lo in range(0, len(some), STEP):
                 node, slots = _slots(some[lo : lo + STEP], j, self.bits)
-                p[lo : lo + STEP] = self.mixer.mixed(self.votes[slots].astype(np.float32), node, j)[-1]
+                p[lo : lo + STEP] = self.mixer.mixed(self.wide[slots], node, j)[-1]
             cost = np.zeros(len(some)) if out is None else out
             out = cost[parent] - np.where(bit, np.log2(p)[parent], np.log2(1 - p)[parent])
         return out
@@ -281,11 +280,20 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(_LOWER).split()
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Shard:
     """Documents of one task: their rows, the model's scores, their words as places in the sorted hashes of all words."""
 
     def __init__(self, n: int):
-        self.n, self.rows, self.scores, self.sizes, self.held, self.lens, self.words, self.bytes = n, [], [], [], [], [], [], 0
+        self.n, self.rows, self.scores, self.sizes, self.held, self.lens, self.ids, self.bytes = n, [], [], [], [], [], [], 0
+        self.numbers = _Numbers()
 
     def add(self, rows: list[pa.StructArray], held: list[bool], texts: list[bytes], scores: np.ndarray) -> None:
         self.rows += rows
@@ -293,15 +301,14 @@ class _Shard:
         self.scores.append(scores)
         for t in texts:
             w = tokens(t)
-            self.words += w
+            self.ids.append(np.fromiter(map(self.numbers.__getitem__, w), np.int32, len(w)))
             self.lens.append(len(w))
             self.sizes.append(len(t))
             self.bytes += len(t)
 
     def row(self) -> list:
-        numbers: dict[bytes, int] = {}
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in self.words], np.int64)
-        h = np.array([x for w in numbers for x in divmod(xxhash.xxh3_128_intdigest(w), 1 << 64)], np.uint64).reshape(-1, 2)
+        ids = np.concatenate(self.ids)
+        h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.numbers)), ">u8").astype(np.uint64).reshape(-1, 2)
         order = np.lexsort((h[:, 1], h[:, 0]))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
