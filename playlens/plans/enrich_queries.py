@@ -118,11 +118,15 @@ def lookup_ctes(name, table, rate="rate"):
     }
 
 
+def artist_rates(t):
+    """Read once: nothing is stored."""
+    rates = features.target_rates(t.plays, ["artist"], ["event_id", "time_stamp", "artist_name"])
+    return enrich.latest_rates(rates.withColumn("artist_name", F.expr(SPELL)), "artist_name", "artist_smoothed_skip_rate")
+
+
 add(
     "latest_rate_lookup",
-    lambda t: enrich.latest_rates(rated_features(t), "artist_name", "artist_smoothed_skip_rate").select(
-        "lookup_key", X.round_even("rate", 6).alias("rate")
-    ),
+    lambda t: artist_rates(t).select("lookup_key", X.round_even("rate", 6).alias("rate")),
     with_views("plays", f"SELECT lookup_key, {rnd('rate', 6)} AS rate FROM al", **RATED, **lookup_ctes("artist_name", "al")),
 )
 

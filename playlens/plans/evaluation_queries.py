@@ -375,8 +375,7 @@ add(
     lambda t: queue.queue_directive(forecast(t)),
     with_views(
         "plays",
-        "SELECT user_id, tracks, high_risk, CASE WHEN high_risk > 0 THEN 'ACTION_REQUIRED: Detected ' || high_risk || ' high-risk tracks in upcoming queue. "
-        "Triggering JIT buffer throttling and silent purge.' ELSE 'OPTIMAL_FLOW: All upcoming tracks below skip threshold. Safe for full 30s CDN pre-fetch.' END AS directive "
+        "SELECT user_id, tracks, high_risk, CASE WHEN high_risk > 0 THEN 'act' ELSE 'clear' END AS directive "
         "FROM (SELECT user_id, count(*) AS tracks, count(*) FILTER (WHERE p >= 0.30 AND pos > 0) AS high_risk FROM fc GROUP BY 1)",
         **FORECAST,
     ),
