@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playlens.llm.common import any_names
+
 # Fixed value: the pattern that byte-level vocabularies of this kind part a text by.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 #: Encoded pieces that a task remembers, and the longest piece that it remembers, in characters.
@@ -164,6 +166,7 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@any_names
 def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str | None = "decoded") -> DataFrame:
     """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit integers), ``n_tokens`` and, unless None, the text that
     the ids decode to. Columns of these names are replaced. Whole texts; null counts as empty (no ids, empty text).

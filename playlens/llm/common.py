@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.session import materialize
 
-__all__ = ["SPACE", "WORD", "checkpointed", "documents", "prepare", "table", "task_count"]
+__all__ = ["any_names", "SPACE", "WORD", "checkpointed", "documents", "prepare", "table", "task_count"]
 
 # The white space between words, and a word, as regular expressions of Java and Python.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -41,6 +44,22 @@ def checkpointed(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+def any_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Operators name their own columns with two leading underscores. Columns of the input that begin so, in any case, have another name
+    while the operator runs, also where they are its arguments. Other inputs go through as they are."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **settings) -> DataFrame:
+        own = {c: f"kept{i} {c.lstrip('_')}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+        if not own:
+            return operator(docs, *args, **settings)
+        now = lambda x: own.get(x, x) if isinstance(x, str) else x
+        out = operator(docs.withColumnsRenamed(own), *map(now, args), **{k: now(v) for k, v in settings.items()})
+        return out.withColumnsRenamed({v: k for k, v in own.items()})
+
+    return run
+
+
 def task_count(spark: SparkSession, rows: int, rows_a_task: int) -> int:
     """Tasks so that none gets more than ``rows_a_task`` rows, and no fewer than the shuffle setting."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_a_task))

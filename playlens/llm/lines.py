@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm.common import checkpointed
+from playlens.llm.common import any_names, checkpointed
 
 _SPACE = " \t\n\v\f\r"
 #: A segment of a filter has 2**SEGMENT_BITS bits. A filter has at most 2**FILTER_BITS: 128 MB, the most that is broadcast.
@@ -139,6 +139,7 @@ def _suspects(least: int, segments: int, width: int, shared):
     return run
 
 
+@any_names
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_chars: int = 20, least_docs: int = 3, segment_bits: int = SEGMENT_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``docs`` without the lines that other documents keep, and with ``n_lines`` (before) and ``n_dropped``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.llm.common import checkpointed
+from playlens.llm.common import any_names, checkpointed
 
 #: Labelled rows that the classifier is fitted on, at most: those with the smallest hash of their id.
 SAMPLE = 20_000
@@ -118,6 +118,7 @@ def solve(posteriors: DataFrame, weights: np.ndarray, budget: float | None) -> l
     return moves
 
 
+@any_names
 def mix(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TARGETS, text: str = "text", doc_id: str = "doc_id", budget: float | None = None, sample: int = SAMPLE, seed: int = 7
 ) -> DataFrame:

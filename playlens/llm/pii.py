@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.llm.common import checkpointed
+from playlens.llm.common import any_names, checkpointed
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns. Possessive where that finds the same and keeps the time linear.
@@ -214,13 +214,37 @@ def _variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
         yield "".join(out), found
 
 
+def _decoys(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
+    """The text with each entity made into what looks like one and is none: a card's number that fails its check, in one run or in groups, an
+    address part above 255, a run of digits, a path."""
+    for way in range(2):
+        out, at = [], 0
+        for kind, s, e in spans:
+            if s < at:
+                continue
+            own = text[s:e]
+            d = _digits(own)
+            if kind == "card":
+                d = d[:-1] + str((int(d[-1]) + 1 + way) % 10)
+                own = re.sub("[0-9]", lambda _, it=iter(d): next(it), own) if way else d
+            elif kind == "ip":
+                own = re.sub(r"^[0-9]+", lambda m: str(int(m[0]) + 300), own) if way else own.rpartition(".")[0]
+            elif kind == "phone":
+                own = d if way else f"{d[:4]}-{d[4:6]}-{d[6:8]}"
+            else:
+                own = own.replace("@", "/" if way else " 2 ")
+            out += [text[at:s], own]
+            at = e
+        yield "".join([*out, text[at:]]), []
+
+
 # Numbers that are no personal data, for the model to leave alone.
 _NOT = ("on 2024-01-05 at 12:30", "version 3.0 of 1.2.3", "in 1998 and 2005", "a price of 12,500.00 now", "token 9f86d081884c7d65 end", "pages 100-250", "licence CC BY 4.0", "number 4663219866878", "id 100200300400500601", "about 3.14159 and 1.5", "05/11/2021", "10.1000/182", "1 2 3 4 5 6 7 8", "section 12.4.1.7.2")
 
 
 def train(islands: list[tuple[str, list[Span]]], rounds: int = 40, penalty: float = 0.02) -> np.ndarray:
-    """Weights (features by kinds) by likelihood, from texts with their base spans, ways to write them otherwise, and numbers that are none."""
-    data = [(t, s) for text, spans in islands for t, s in _variants(text, spans)] + [(f"{a} {n} {b}", []) for n in _NOT for a, b in (("the", "of"), ("und", "."))]
+    """Weights (features by kinds) by likelihood, from texts with their base spans, ways to write them otherwise, and what looks like them and is none."""
+    data = [(t, s) for text, spans in islands for t, s in [*_variants(text, spans), *_decoys(text, spans)]] + [(f"{a} {n} {b}", []) for n in _NOT for a, b in (("the", "of"), ("und", "."))]
     parts = []
     for text, spans in data:
         p = Part(text, 0, len(text))
@@ -339,13 +363,14 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.ndarray
     return train([(r["t"], base_spans(r["t"])) for r in rows]) if rows else None
 
 
+@any_names
 def find(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (kind, start, end) in code points, the end exclusive, by start, then kind.
 
     ``base``: leftmost non-overlapping matches of each kind's pattern that pass its check (parts of an ip at most 255, Luhn, numbers of
     digits). ``spans``: those, and what the semi-Markov model adds in the text that no base span holds: it scores whole candidates
     (digits, checks, shape, neighbours) and picks boundaries and kinds together by dynamic programming over segments of at
-    most ``LONGEST`` atoms. It is trained here on passages with base spans, on other ways to write them, and on numbers that are none.
+    most ``LONGEST`` atoms. It is trained here on passages with base spans, on other ways to write them, and on decoys: the same passages with failing checks, digits, paths.
     Null counts as empty: no spans. Repeated rows are alike. Columns of these names are replaced. No text is shuffled.
     """
     w = fit(docs, text, sample)

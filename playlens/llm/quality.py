@@ -7,7 +7,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import LOWER, SPACE, UPPER, WORD, checkpointed
+from playlens.llm.common import LOWER, SPACE, UPPER, WORD, any_names, checkpointed
 
 # Frequent words of the four languages.
 STOP_WORDS = (
@@ -134,6 +134,7 @@ def fit(patterns: DataFrame, votes: list[str]) -> Model:
     return model
 
 
+@any_names
 def judge(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """``docs`` without its text, and with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     quality (the posterior probability) and kept. Columns of these names are replaced.

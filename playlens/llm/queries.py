@@ -54,8 +54,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = toxicity.score(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"), evidence=None)
-    return out.select("doc_id", "held_out", "score", "predicted")
+    out = toxicity.score(documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    shown = F.transform(F.slice("evidence", 1, 5), lambda e: F.concat_ws(":", e["doc_id"], F.round(e["cosine"], 4), e["label"]))
+    return out.select("doc_id", "held_out", "score", "predicted", F.array_join(shown, " ").alias("evidence"))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

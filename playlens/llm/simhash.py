@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import UPPER, LOWER, checkpointed, task_count
+from playlens.llm.common import LOWER, UPPER, any_names, checkpointed, task_count
 from playlens.llm.components import connected_components
 
 SEED = 42
@@ -44,6 +44,7 @@ def fingerprint(text: str | None, width: int = 4) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+@any_names
 def fingerprints(docs: DataFrame, text: str = "text", width: int = 4, into: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint as a signed long in place of the text."""
     keep = [c for c in docs.columns if c not in (text, into)]
@@ -196,6 +197,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return prints.join(ids, "f").select("doc_id", "th", "f", "component_id")
 
 
+@any_names
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 4, bits: int = 4) -> DataFrame:
     """``docs`` with one document of each near-duplicate component, the one with the smallest id. A document is an id
     and a text: rows that repeat both become one. Without any id in a component its documents all stay."""

@@ -62,6 +62,8 @@ def best_of_group(q_ids: np.ndarray, q: np.ndarray, blocks: list[tuple[np.ndarra
     """
     low, high = np.array([m.min(0) for _, m in blocks]), np.array([m.max(0) for _, m in blocks])
     peak = max(int(np.abs(q).max(initial=0)), 1) * max(int(np.abs(low).max(initial=0)), int(np.abs(high).max(initial=0)), 1) * q.shape[1]
+    if peak >= 1 << 63:
+        raise OverflowError("inner products of these vectors may pass 64 bits")
     up, down = np.maximum(q, 0), np.minimum(q, 0)
     bound = _product(up, high, peak < EXACT) + _product(down, low, peak < EXACT)
     order = np.argsort(-bound, axis=1, kind="stable")
@@ -100,7 +102,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     Vectors are dealt by id range and packed into blocks of ``BLOCK``; a group of ``BLOCKS`` blocks meets a group of
     ``QUERIES`` queries in one task, so no task or driver holds all of either. Each task prunes by block bounds and
     hands on at most ``k`` rows a query. Repeated ids are separate candidates; query rows that
-    share an id are answered together. The largest long is no id. Shorter vectors count as filled with zeros. Empty tables give no rows.
+    share an id are answered together. Vectors so large that a score may pass 64 bits raise OverflowError. The largest long is no id. Shorter vectors count as filled with zeros. Empty tables give no rows.
     """
     spark = vectors.sparkSession
     n, n_q = vectors.count(), queries.count()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import ascii_lower
+from playlens.llm.common import any_names, ascii_lower
 from playlens.llm.components import connected_components
 
 #: (verdict, host, path): fixed values of the query.
@@ -63,6 +63,7 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return found.where("l <> '' and u is not null").select(page_key(F.col("u")).alias("a"), page_key(absolute(F.col("l"), F.col("u"))).alias("b")).where("a <> b")
 
 
+@any_names
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url: str = "url", html: str | None = "html") -> DataFrame:
     """``pages`` with host, path, rule and verdict (added or replaced).
 

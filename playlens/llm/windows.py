@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import checkpointed
+from playlens.llm.common import any_names, checkpointed
 
 #: Bytes of the first digit of a suffix. Shorter digits meet by chance more often, longer ones make more runs.
 DIGIT = 128
@@ -229,6 +229,7 @@ def _cut(at: int):
     return run
 
 
+@any_names
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 400, digit: int = DIGIT, group: int = GROUP) -> DataFrame:
     """``docs`` without its text, and with ``kept`` (binary), ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed runs).
 

@@ -34,25 +34,28 @@ def test_order_and_columns(steps):
 
 
 def test_toxicity_by_all_cosines(spark, steps):
-    index = toxicity.learn(steps[0], table(spark, MIDDLE, "labels"))
-    examples = index.nearest
-    stay = set()
-    for r in rows(steps[0]):
-        counts = Counter(w for w in toxicity.words(r["text"]) if w in index.idf)
-        index.nearest = lambda v, k=toxicity.NEAREST: (all_cosines(index, v)[:k], 0)
-        if index.score(counts)[0] < toxicity.REJECT:
-            stay.add(r["doc_id"])
-        index.known.clear()
-    index.nearest = examples
+    """The first stage, and the query's scores, by each text's cosine to every example."""
+    labels = table(spark, MIDDLE, "labels")
+    index = toxicity.learn(steps[0], labels)
+    scores = {r["doc_id"]: by_hand(index, r["text"]) for r in rows(steps[0])}
+    stay = {d for d, s in scores.items() if s < toxicity.REJECT}
     assert {r["doc_id"] for r in rows(steps[1])} == stay and 0 < len(stay) < steps[0].count()
+    asked = {r["doc_id"]: r for r in rows(queries.op5_toxicity(spark, MIDDLE))}
+    assert scores.keys() == asked.keys() and all(abs(s - asked[d]["score"]) < 1e-6 and asked[d]["predicted"] == (asked[d]["score"] >= 0.3) for d, s in scores.items())
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    assert all(known[int(e.split(":")[0])] == int(e.split(":")[2]) for r in asked.values() for e in r["evidence"].split())
 
 
-def all_cosines(index, v):
+def by_hand(index, text):
+    counts = Counter(w for w in toxicity.words(text) if w in index.number)
+    if not counts:
+        return index.none
     s = np.zeros(len(index.ids))
-    for w, x in v.items():
-        for b, (at, y) in enumerate(index.postings[w]):
-            s[b * toxicity.BLOCK + at] += x * y
-    return sorted(((round(float(c), 9), i) for i, c in enumerate(s)), key=lambda p: (-p[0], p[1]))
+    for w, x in index.vector(counts).items():
+        own = slice(index.at[index.number[w]], index.at[index.number[w] + 1])
+        s[index.order[index.example[own]]] += x * index.weight[own]
+    near = sorted(((round(float(c), 9), i) for i, c in enumerate(s)), key=lambda p: (-p[0], p[1]))[: toxicity.NEAREST]
+    return index.voted(near, index.some if counts.keys() & index.idf.keys() else index.none)[0]
 
 
 def test_lines_by_brute_force(steps):

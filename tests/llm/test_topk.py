@@ -1,3 +1,4 @@
+import pytest
 import numpy as np
 
 from playlens.llm import topk
@@ -56,3 +57,12 @@ def test_blocks_below_the_kth_score_are_skipped():
     blocks = [(np.arange(64) + 64 * i, m.astype(np.int64)) for i, m in enumerate([near, far, far])]
     _, _, scored = topk.best_of_group(np.array([-5]), np.full((1, 4), 10, np.int64), blocks, 5)
     assert scored == 1
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    rows = spark.createDataFrame([(50, [1e10]), (51, [1e10])], "vec_id long, embedding array<double>")
+    v = topk.quantised(rows)
+    with pytest.raises(Exception, match="pass 64 bits"):
+        topk.top_k(v, v.where("id % 50 = 0")).collect()
+    fine = topk.quantised(spark.createDataFrame([(50, [1e6]), (51, [-1e6])], "vec_id long, embedding array<double>"))
+    assert topk.top_k(fine, fine.where("id = 50")).first().score == -(256 * 10**6) ** 2

@@ -126,6 +126,7 @@ def test_index_of_common_and_rare_words_equals_brute_force():
     some = lambda: {f"w{min(399, int(rng.expovariate(0.02)))}": rng.randint(1, 3) for _ in range(25)}
     examples = [(i, i % 2, some()) for i in range(700)]
     index = toxicity.Index({"vile": 9.0}, examples, 0.1, 0.2, rest)
+    index.nearest({})
     assert 0 < index.whole.shape[1] < 400
     vectors = [index.vector(c) for _, _, c in examples]
     for _ in range(40):
