@@ -240,9 +240,15 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     number = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate([*idf, *rest])})
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = number.value.__getitem__
         for b in batches:
-            found = [sorted((number.value[w], k) for w, k in Counter(ws).items()) for ws in b.column(2).to_pylist()]
-            two = [pa.array([np.array([x[j] for x in f], np.int32).tobytes() for f in found], pa.binary()) for j in (0, 1)]
+            found = []
+            for ws in b.column(2).to_pylist():
+                counts = Counter(ws)
+                ids = np.fromiter(map(of, counts), np.int32, len(counts))
+                order = np.argsort(ids)
+                found.append((ids[order].tobytes(), np.fromiter(counts.values(), np.int32, len(counts))[order].tobytes()))
+            two = [pa.array([f[j] for f in found], pa.binary()) for j in (0, 1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *two], names=["id", "y", "words", "counts"])
 
     rows = texts.select("id", "y", "w").mapInArrow(numbers, "id long, y int, words binary, counts binary").toArrow()
