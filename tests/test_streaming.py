@@ -155,3 +155,26 @@ def test_windows_appear_once_closed(spark, tables):
     got = run.collect_stream(windows.tumbling_volume(stream, "1 day", "0 seconds"), "win-out")
     days = tables.plays.select(F.to_date("time_stamp")).distinct().count()
     assert got.count() == days - 1  # the last day is still open
+
+
+def test_sliding_state_follows_windows_not_listeners(spark):
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [(u if u % 50 else None, at(s), u % 3 - 1 if u % 3 else None) for u in range(400) for s in (u % 170, u % 170, 200 + u % 100)]
+    rows += [(7, at(1500), 1), (8, at(800), 1), (9, at(3000), 1)]  # the second comes late: its first window is closed, the others are open
+    plays = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "user_id long, time_stamp timestamp, skipped int, event_id long")
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("slide", "slide-out", "slide-chk"))
+    sizes = []
+    for some in ("event_id < 700", "event_id between 700 and 1200", "event_id = 1201", "event_id = 1202"):
+        plays.where(some).coalesce(1).write.mode("append").parquet(source)
+        query = run.drain(windows.sliding_skips(run.read_stream(spark, source, plays.schema)), out, checkpoint)
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"] if query.lastProgress else None)
+    expected = {}
+    for u, t, skipped in rows:
+        for k in range(5):
+            start = at(int((t - at(0)).total_seconds()) // 180 * 180 - 180 * k)
+            if start + dt.timedelta(minutes=15) <= at(2400) and (t, start) != (at(800), at(0)):  # the last watermark
+                expected.setdefault((u, start), []).append(skipped)
+    told = {(r.user_id, r.window_start): (r.plays, r.skips) for r in spark.read.parquet(out).collect()}
+    known = {k: [s for s in v if s is not None] for k, v in expected.items()}
+    assert told == {k: (len(v), sum(known[k]) if known[k] else None) for k, v in expected.items()} and len(told) > 1000
+    assert max(s for s in sizes if s) <= 20 * windows.BUCKETS  # a row for each listener before: over 1,000
