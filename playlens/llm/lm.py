@@ -24,6 +24,8 @@ LEAST_BITS, MOST_BITS, BYTES_A_SLOT = 16, 21, 64
 #: Bytes of text between two updates of the contexts (the first, and at most: they double), different places in one step of the weights, and
 #: bytes of text in a shard.
 FIRST_BLOCK, BLOCK, STEP, SHARD = 1 << 18, 6 << 20, 1 << 15, 12 << 20
+#: Bytes of text that are scored at once: what their contexts share is predicted once, but a task holds them all. Scores don't depend on it.
+SCORED = 3 << 20
 #: Counts that a context has of either bit before it was seen; the same for the refinement; how far a step of the weights goes.
 PRIOR, REFINE_PRIOR, RATE = 0.4, 8.0, 0.3
 LEAST_CURVE = 1 / 128  # of a bit, for the steps
@@ -43,7 +45,8 @@ def places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(lead + lead.join(t + END for t in texts), np.uint8)
     key = np.zeros(len(raw) - _LONGEST, np.uint64)
     for k in range(_LONGEST + 1):
-        key = (key << np.uint64(8)) | raw[k : len(raw) - _LONGEST + k]
+        key <<= np.uint64(8)
+        key |= raw[k : len(raw) - _LONGEST + k]
     sizes = np.array([len(t) + 1 for t in texts])
     own = np.ones(len(key), bool)  # not the zeros between texts
     starts = np.cumsum(sizes + _LONGEST)[:-1] - _LONGEST
@@ -58,7 +61,7 @@ def _levels(keys: np.ndarray, times: np.ndarray | None = None) -> list[tuple[np.
     for _ in range(8):
         above = keys >> np.uint64(1)
         fresh = np.flatnonzero(np.r_[True, above[1:] != above[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        parent = np.repeat(np.arange(len(fresh)), np.diff(np.r_[fresh, len(keys)]))
+        parent = np.repeat(np.arange(len(fresh), dtype=np.int32), np.diff(np.r_[fresh, len(keys)]))
         if times is None:
             out.append((above[fresh], parent, (keys & np.uint64(1)) == 1))
         else:
@@ -139,7 +142,10 @@ class Learner:
     def block(self, texts: list[bytes]) -> None:
         keys, times = np.unique(places(texts)[0], return_counts=True)
         both, seen = self.counts.view(np.complex64)[:, 0], []  # zeros and ones of a slot side by side
-        for j, (some, zeros, ones) in enumerate(_levels(keys, times.astype(np.float64))):
+        levels = _levels(keys, times.astype(np.float64))[::-1]
+        del keys, times
+        for j in range(8):
+            some, zeros, ones = levels.pop()
             for lo in range(0, len(some), STEP):
                 at = slice(lo, lo + STEP)
                 node, slots = _slots(some[at], j, self.bits)
@@ -147,20 +153,19 @@ class Learner:
                 votes = np.log((c.imag + PRIOR) / (c.real + PRIOR))
                 gate, x, low, part, _ = self.mixer.mixed(votes, node, j)
                 self.mixer.learn(votes, gate, x, low, part, zeros[at], ones[at])
-                seen.append((slots, zeros[at], ones[at]))
+                seen.append((slots, (zeros[at] + 1j * ones[at]).astype(np.complex64)))
                 self.mixer.settle()
-        for slots, zeros, ones in seen:
-            more = (zeros + 1j * ones).astype(np.complex64)
+        for slots, more in seen:
             for s in slots:
                 np.add.at(both, s, more)
 
     def parts(self) -> Iterator[tuple[int, bytes]]:
         """(segment, contents) of what was gathered: the slots in use with their counts, a plane for each byte of a count; then the mixer."""
-        whole = self.counts.astype(np.uint32).reshape(-1, _SEGMENT, 2)
+        whole = self.counts.reshape(-1, _SEGMENT, 2)
         for s in range(len(whole)):
             used = np.flatnonzero(whole[s].any(1))
             if len(used):
-                planes = np.ascontiguousarray(whole[s][used]).view(np.uint8).reshape(len(used) * 2, 4).T
+                planes = np.ascontiguousarray(whole[s][used].astype(np.uint32)).view(np.uint8).reshape(len(used) * 2, 4).T
                 yield s, used.astype(np.uint16).tobytes() + planes.tobytes()
         for i in range(0, len(self.mixer.state), 1024):
             yield len(whole) + i // 1024, self.mixer.state[i : i + 1024].tobytes()
@@ -222,18 +227,18 @@ class Model:
         self.bits, self.votes, self.state = bits, votes, state
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("mixer", "wide")}
+        return {k: v for k, v in self.__dict__.items() if k != "mixer"}
 
     def bits_of(self, keys: np.ndarray) -> np.ndarray:
         """How many bits each of the sorted, different (context, byte) takes."""
         if not hasattr(self, "mixer"):  # once a worker
-            self.mixer, self.wide = Mixer(self.state), self.votes.astype(np.float32)
+            self.mixer = Mixer(self.state)
         out = None
         for j, (some, parent, bit) in enumerate(_levels(keys)):
             p = np.empty(len(some))
             for lo in range(0, len(some), STEP):
                 node, slots = _slots(some[lo : lo + STEP], j, self.bits)
-                p[lo : lo + STEP] = self.mixer.mixed(self.wide[slots], node, j)[-1]
+                p[lo : lo + STEP] = self.mixer.mixed(self.votes[slots].astype(np.float32), node, j)[-1]
             cost = np.zeros(len(some)) if out is None else out
             out = cost[parent] - np.where(bit, np.log2(p)[parent], np.log2(1 - p)[parent])
         return out
@@ -244,6 +249,8 @@ class Model:
             return np.zeros(0)
         keys, starts = places(texts)
         which, different = pd.factorize(keys)
+        which = which.astype(np.int32)
+        del keys
         order = np.argsort(different)
         bits = np.empty(len(different))
         bits[order] = self.bits_of(different[order])
@@ -343,7 +350,7 @@ def _sharded(shared, keep: int, size: int):
             for i, (h, t) in enumerate(zip(b.column(keep).to_pylist(), b.column(keep + 1).to_pylist())):
                 held.append(h), texts.append((t or "").encode())
                 n += len(texts[-1])
-                if n >= BLOCK:
+                if n >= SCORED:
                     now.add([*rows, own.slice(lo, i + 1 - lo)], held, texts, model.score(texts))
                     lo, rows, held, texts, n = i + 1, [], [], [], 0
                     if now.bytes >= size:

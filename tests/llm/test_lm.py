@@ -1,8 +1,11 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from playlens.llm import lm, queries
@@ -117,3 +120,29 @@ def test_no_rows_and_clashing_names(docs):
     if none is not None:
         r = none.first()
         assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0) and abs(r.bits_per_byte - 8) < 1e-6
+
+
+def peak(run):
+    """MB that numpy and Python hold at once while ``run`` runs, beyond what they held before."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task(monkeypatch):
+    rng = np.random.default_rng(1)
+    some = ["".join(map(chr, w)) for w in rng.integers(97, 123, (3000, 6))]
+    texts = [" ".join(some[i] for i in rng.integers(0, 3000, 400)) for _ in range(2400)]
+    learner = lm.Learner(lm.MOST_BITS)
+    learner.block([t.encode() for t in texts[:50]])
+    assert peak(lambda: [len(d) for _, d in learner.parts()]) < 40  # a copy of all counts before: 84
+    votes = np.log((learner.counts[:, 1] + lm.PRIOR) / (learner.counts[:, 0] + lm.PRIOR)).astype(np.float16)
+    shared = SimpleNamespace(value=lm.Model(lm.MOST_BITS, votes, learner.mixer.state.copy()))
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([False] * len(texts)), pa.array(texts)], names=["c0", "h", "t"])
+    out = []
+    assert peak(lambda: out.extend(lm._sharded(shared, 1, lm.SHARD)(iter([batch])))) < 220  # 6 MB at once and a wider copy of the model before: 389
+    assert sum(map(len, texts)) > 6 << 20 and sum(b.num_rows for b in out) == 1 and len(out[0]["scores"][0].as_py()) == 8 * len(texts)
