@@ -155,6 +155,11 @@ class Codec:
             return self._plain(text)
         return b"".join(self.special[p].to_bytes(4, "little") if p in self.special else self._plain(p) for p in self.at_special.split(text) if p)
 
+    def forget(self) -> None:
+        """What was remembered goes; the vocabulary stays."""
+        self.known, self.before = {}, {}
+        self.fits.clear()
+
     def decode(self, ids: bytes) -> str:
         """Bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -188,5 +193,6 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", ids:
             if decoded:
                 columns.append(pa.array([c.decode(e) for e in encoded], pa.string()))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), *columns], names=[*keep, *schema.names[len(keep) :]])
+        c.forget()  # the worker goes on to other stages
 
     return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 from math import log, sqrt
 
@@ -29,6 +29,7 @@ TOGETHER = 64
 #: Texts whose scores a worker remembers: copies are searched for once.
 REMEMBERED = 16_384
 _ONE = float(1 << 47)
+_PART = 1 << 18  # postings that are packed at once
 REJECT = 0.3
 _WORD = re.compile(r"\w+")
 
@@ -88,9 +89,13 @@ class Index:
         self.row[words] = np.arange(len(words))
         self.whole = np.zeros((len(words), self.blocks * BLOCK))
         # a posting in one number, so that a word's postings lie in one place: the example, and its weight to 14 digits
-        self.packed = self.example.astype(np.uint64) << np.uint64(48) | np.rint(self.weight * _ONE).astype(np.uint64)
+        self.packed = self.example.astype(np.uint64)
+        self.packed <<= np.uint64(48)
+        for lo in range(0, len(self.packed), _PART):
+            self.packed[lo : lo + _PART] |= np.rint(self.weight[lo : lo + _PART] * _ONE).astype(np.uint64)
         for r, w in enumerate(words):
             self.whole[r, self.example[self.at[w] : self.at[w + 1]]] = self.weight[self.at[w] : self.at[w + 1]]
+        self.example = self.weight = None  # all that they say is in the others now
         self.top = self.whole.reshape(len(words), self.blocks, BLOCK).max(2)
         self.whole = np.ascontiguousarray(self.whole.T)
         self.size = np.sqrt((self.whole**2).sum(1)).reshape(self.blocks, BLOCK)
@@ -208,6 +213,26 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([words(t) for t in b.column(3).to_pylist()], pa.list_(pa.string()))], names=["id", "y", "th", "w"])
 
 
+class Numbers:
+    """The numbers of known words (their places), in 12 bytes a word: a task would hold far more as a dictionary. The words' hashes all differ, so
+    it is exact for known words, and only for them."""
+
+    def __init__(self, words: list[str]):
+        for self.seed in range(64):
+            h = self._hashes(words)
+            self.order = np.argsort(h).astype(np.int32)
+            self.hashes = h[self.order]
+            if (self.hashes[1:] != self.hashes[:-1]).all():
+                return
+        raise ValueError("words must differ")
+
+    def _hashes(self, words: Iterable[str]) -> np.ndarray:
+        return np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), self.seed) for w in words], np.uint64)
+
+    def of(self, words: Iterable[str]) -> np.ndarray:
+        return self.order[np.searchsorted(self.hashes, self._hashes(words))]
+
+
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> Index:
     """The index, from at most ``sample`` labelled rows that aren't held out, with all their words. Equal texts count once (the largest label).
 
@@ -237,15 +262,14 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     plain = np.log((n + 1) / (df + 0.5)) + 0.1
     idf = {every[i]: float(plain[i]) for i, g in zip(maybe, speaks) if g > bar}
     rest = {w: x for w, x in zip(every, plain.tolist()) if w not in idf}
-    number = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate([*idf, *rest])})
+    number = docs.sparkSession.sparkContext.broadcast(Numbers([*idf, *rest]))
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = number.value.__getitem__
         for b in batches:
             found = []
             for ws in b.column(2).to_pylist():
                 counts = Counter(ws)
-                ids = np.fromiter(map(of, counts), np.int32, len(counts))
+                ids = number.value.of(counts)
                 order = np.argsort(ids)
                 found.append((ids[order].tobytes(), np.fromiter(counts.values(), np.int32, len(counts))[order].tobytes()))
             two = [pa.array([f[j] for f in found], pa.binary()) for j in (0, 1)]

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -68,3 +69,19 @@ def test_nulls_repeats_and_clashing_columns(docs):
     out = bpe.encode_documents(frame, queries.vocabulary_path())
     assert sorted((r.doc_id, r.n_tokens, r.decoded) for r in out.collect()) == [(0, 0, ""), (1, 0, ""), (2, 2, "a b"), (2, 2, "a b")]
     assert bpe.encode_documents(docs([]), queries.vocabulary_path()).count() == 0
+
+
+def test_a_worker_keeps_only_the_vocabulary():
+    kept = bpe.Codec(queries.vocabulary_path())
+    kept.encode("some pieces to remember, bxhqz")
+    assert kept.known and kept.fits
+    before = kept.encode("bxhqz again")
+    kept.forget()
+    assert not kept.known and not kept.before and not kept.fits and kept.encode("bxhqz again") == before
+
+
+def test_a_task_leaves_nothing_remembered(spark, docs):
+    out = bpe.encode_documents(docs([(1, "pieces to remember bxhqz")]), queries.vocabulary_path()).select("ids")
+    left = lambda batches: ((pa.RecordBatch.from_arrays([pa.array([len(bpe.codec(queries.vocabulary_path()).known)])], names=["n"])) for _ in batches)
+    assert out.count() == 1
+    assert max(r.n for r in spark.range(64).repartition(8).mapInArrow(left, "n long").collect()) == 0

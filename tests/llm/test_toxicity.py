@@ -1,7 +1,9 @@
+import pickle
 import random
 import zlib
 from math import sqrt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +164,24 @@ def test_shares_of_a_half_and_more(spark, tmp_path, percent):
     assert len(called & toxic) >= 0.9 * len(apart & toxic) and len(called - toxic) <= 0.1 * len(apart - toxic)
     kept = {r.doc_id for r in corpus_pipeline.reject_toxic(spark, queries.documents(spark, str(tmp_path)), str(tmp_path)).collect()}
     assert len(kept - toxic) >= 0.9 * (600 - len(toxic)) and len(kept & toxic) <= 0.1 * len(toxic)
+
+
+def test_numbers_of_words_take_little_memory_and_stay_exact(monkeypatch):
+    words = [f"{'é' * (i % 9)}{i}" for i in range(50_000)]
+    numbers = toxicity.Numbers(words)
+    assert (numbers.of(words[::-1]) == np.arange(len(words))[::-1]).all() and len(numbers.of([])) == 0
+    assert len(pickle.dumps(numbers)) < 13 * len(words)  # a dictionary in each task before
+    clash = lambda self, ws: np.array([len(w) if self.seed < 2 else int(w) for w in ws], np.uint64)
+    monkeypatch.setattr(toxicity.Numbers, "_hashes", clash)
+    numbers = toxicity.Numbers(["7", "3", "12"])  # equal hashes until the seed is 2
+    assert numbers.seed == 2 and numbers.of(["12", "7", "3"]).tolist() == [2, 0, 1]
+    assert toxicity.Numbers([]).of([]).tolist() == []
+
+
+def test_a_searching_task_drops_what_it_has_packed():
+    rng = np.random.default_rng(3)
+    counts = [{f"w{k}": 1 for k in rng.choice(900, 60, replace=False)} for _ in range(300)]
+    index = toxicity.Index({f"w{k}": 1.0 + k % 7 for k in range(900)}, [(i, i % 2, c) for i, c in enumerate(counts)], 0.1, 0.2)
+    found, _ = index.nearest(index.vector(counts[5]))
+    assert found[0] == (1.0, 5) and index.nearest(index.vector(counts[5]))[0] == found
+    assert index.example is None and index.weight is None
