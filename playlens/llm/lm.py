@@ -33,6 +33,7 @@ LEAST_CURVE = 1 / 128  # of a bit, for the steps
 LEVELS, LIMIT = 33, 12.0
 END = b"\xff"  # in no UTF-8 text: makes the probabilities of all texts add up to one
 _SEGMENT = 1 << 13
+_PART = 1 << 20  # bytes of text, keys or words that are turned at once
 _LONGEST = max(ORDERS)
 _GATES = (len(ORDERS) + 1) * 8
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -54,32 +55,77 @@ def places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key[own], np.cumsum(sizes) - sizes
 
 
-def _levels(keys: np.ndarray, times: np.ndarray | None = None) -> list[tuple[np.ndarray, ...]]:
-    """For each bit of a byte, first to last, the different (context, bits before it); of the next level's, which of these each one
-    continues; and, with ``times``, how often a zero and a one come. Keys are sorted and different: what they share is predicted once."""
-    out = []
-    for _ in range(8):
-        above = keys >> np.uint64(1)
-        fresh = np.flatnonzero(np.r_[True, above[1:] != above[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        parent = np.repeat(np.arange(len(fresh), dtype=np.int32), np.diff(np.r_[fresh, len(keys)]))
-        if times is None:
-            out.append((above[fresh], parent, (keys & np.uint64(1)) == 1))
-        else:
-            ones = np.add.reduceat(np.where(keys & np.uint64(1), times, 0), fresh) if len(keys) else times
-            times = np.add.reduceat(times, fresh) if len(keys) else times
-            out.append((above[fresh], times - ones, ones))
-        keys = above[fresh]
-    return out[::-1]
+def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in order, about _PART bytes at a time."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t) + 1
+        if size >= _PART:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _counted_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The different (context, byte) of the texts, sorted, and how often each comes."""
+    found, often = [], []
+    for part in _parts(texts):
+        keys = places(part)[0]
+        keys.sort()
+        first = _firsts(keys)
+        found.append(keys[first])
+        often.append(np.diff(np.r_[first, len(keys)]).astype(np.uint32))
+    keys, often = np.concatenate(found), np.concatenate(often)
+    del found
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(often[order], first, dtype=np.uint32)
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each different one of the sorted keys begins."""
+    fresh = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
+    return np.flatnonzero(fresh)
+
+
+def _parted(keys: np.ndarray) -> np.ndarray:
+    """How each of the sorted, different keys differs from the one before: in which bits of the byte; 256 where in the context."""
+    out = np.full(len(keys), 256, np.uint16)
+    for lo in range(1, len(keys), _PART):
+        at = keys[lo : lo + _PART]
+        out[lo : lo + _PART] = np.minimum(at ^ keys[lo - 1 :][: len(at)], np.uint64(256))
+    return out
+
+
+def _steps(keys: np.ndarray, parted: np.ndarray, j: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """For bit ``j`` of a byte, STEP different (context, bits before it) at a time: the keys that continue them, where each one's begin
+    among these, they themselves, and whether the bit is one for each key. What keys share is predicted once."""
+    fresh = np.flatnonzero(parted >= 1 << (8 - j)).astype(np.int32)
+    for lo in range(0, len(fresh), STEP):
+        at = slice(int(fresh[lo]), int(fresh[lo + STEP]) if lo + STEP < len(fresh) else len(keys))
+        first = fresh[lo : lo + STEP] - fresh[lo]
+        some = keys[at]
+        yield at, first, some[first] >> np.uint64(8 - j), (some >> np.uint64(7 - j)) & np.uint64(1) == 1
 
 
 def _slots(some: np.ndarray, j: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Of (context, the ``j`` bits before): these bits after a leading one, and each order's slot."""
     node = (some & np.uint64((1 << j) - 1)) | np.uint64(1 << j)
     slots = np.empty((len(ORDERS), len(some)), np.int32)
-    context = some >> np.uint64(j)
+    context, x = some >> np.uint64(j), np.empty_like(some)
+    above = (node << np.uint64(48)) * _M
     for i, k in enumerate(ORDERS):
-        x = (context & np.uint64((1 << 8 * k) - 1)) | (node << np.uint64(48)) ^ np.uint64(k << 40)
-        slots[i] = ((x * _M) >> np.uint64(64 - bits)).astype(np.int32) + (i << bits)
+        np.bitwise_and(context, np.uint64((1 << 8 * k) - 1), out=x)
+        x |= np.uint64(k << 40)
+        x *= _M
+        x += above
+        x >>= np.uint64(64 - bits)
+        x += np.uint64(i << bits)
+        slots[i] = x
     return node.astype(np.int64), slots
 
 
@@ -140,24 +186,26 @@ class Learner:
         self.counts = np.zeros((len(ORDERS) << bits, 2), np.float32)
 
     def block(self, texts: list[bytes]) -> None:
-        keys, times = np.unique(places(texts)[0], return_counts=True)
-        both, seen = self.counts.view(np.complex64)[:, 0], []  # zeros and ones of a slot side by side
-        levels = _levels(keys, times.astype(np.float64))[::-1]
-        del keys, times
-        for j in range(8):
-            some, zeros, ones = levels.pop()
-            for lo in range(0, len(some), STEP):
-                at = slice(lo, lo + STEP)
-                node, slots = _slots(some[at], j, self.bits)
-                c = both[slots]
-                votes = np.log((c.imag + PRIOR) / (c.real + PRIOR))
-                gate, x, low, part, _ = self.mixer.mixed(votes, node, j)
-                self.mixer.learn(votes, gate, x, low, part, zeros[at], ones[at])
-                seen.append((slots, (zeros[at] + 1j * ones[at]).astype(np.complex64)))
-                self.mixer.settle()
-        for slots, more in seen:
-            for s in slots:
-                np.add.at(both, s, more)
+        keys, times = _counted_places(texts)
+        both, parted = self.counts.view(np.complex64)[:, 0], _parted(keys)  # zeros and ones of a slot side by side
+        # the steps are made twice: to keep the slots of all of them until the block is predicted would take ten times the keys
+        for learned in (False, True):
+            for j in range(8):
+                for at, first, some, bit in _steps(keys, parted, j):
+                    node, slots = _slots(some, j, self.bits)
+                    n = times[at].astype(np.float64)
+                    ones = np.add.reduceat(np.where(bit, n, 0), first)
+                    zeros = np.add.reduceat(n, first) - ones
+                    if learned:
+                        more = (zeros + 1j * ones).astype(np.complex64)
+                        for s in slots:
+                            np.add.at(both, s, more)
+                    else:
+                        c = both[slots]
+                        votes = np.log((c.imag + PRIOR) / (c.real + PRIOR))
+                        gate, x, low, part, _ = self.mixer.mixed(votes, node, j)
+                        self.mixer.learn(votes, gate, x, low, part, zeros, ones)
+                        self.mixer.settle()
 
     def parts(self) -> Iterator[tuple[int, bytes]]:
         """(segment, contents) of what was gathered: the slots in use with their counts, a plane for each byte of a count; then the mixer."""
@@ -233,28 +281,31 @@ class Model:
         """How many bits each of the sorted, different (context, byte) takes."""
         if not hasattr(self, "mixer"):  # once a worker
             self.mixer = Mixer(self.state)
-        out = None
-        for j, (some, parent, bit) in enumerate(_levels(keys)):
-            p = np.empty(len(some))
-            for lo in range(0, len(some), STEP):
-                node, slots = _slots(some[lo : lo + STEP], j, self.bits)
-                p[lo : lo + STEP] = self.mixer.mixed(self.votes[slots].astype(np.float32), node, j)[-1]
-            cost = np.zeros(len(some)) if out is None else out
-            out = cost[parent] - np.where(bit, np.log2(p)[parent], np.log2(1 - p)[parent])
+        out, parted = np.zeros(len(keys)), _parted(keys)
+        for j in range(8):
+            for at, first, some, bit in _steps(keys, parted, j):
+                node, slots = _slots(some, j, self.bits)
+                p = self.mixer.mixed(self.votes[slots].astype(np.float32), node, j)[-1]
+                own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(bit)]))
+                out[at] -= np.where(bit, np.log2(p)[own], np.log2(1 - p)[own])
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """log10 of the probability of each text, whole, with its end."""
         if not texts:
             return np.zeros(0)
-        keys, starts = places(texts)
-        which, different = pd.factorize(keys)
-        which = which.astype(np.int32)
-        del keys
+        which, starts, kinds, n = [], [], [], 0
+        for part in _parts(texts):
+            keys, start = places(part)
+            own, some = pd.factorize(keys)
+            which.append((own + n).astype(np.int32)), starts.append(start), kinds.append(some)
+            n += len(some)
+        again, different = pd.factorize(np.concatenate(kinds))
         order = np.argsort(different)
         bits = np.empty(len(different))
         bits[order] = self.bits_of(different[order])
-        return -np.add.reduceat(bits[which], starts) * log10(2)
+        bits = bits[again]
+        return np.concatenate([-np.add.reduceat(bits[own], start) for own, start in zip(which, starts)]) * log10(2)
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -314,20 +365,29 @@ class _Shard:
             self.bytes += len(t)
 
     def row(self) -> list:
-        ids = np.concatenate(self.ids)
-        h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.numbers)), ">u8").astype(np.uint64).reshape(-1, 2)
+        """Its columns. What it holds is let go on the way."""
+        ids, hashes = np.concatenate(self.ids), bytearray()
+        for word in self.numbers:
+            hashes += xxhash.xxh3_128_digest(word)
+        self.ids, self.numbers = [], _Numbers()
+        h = np.frombuffer(hashes, ">u8").astype(np.uint64).reshape(-1, 2)
         order = np.lexsort((h[:, 1], h[:, 0]))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         ids = place[ids] if len(ids) else ids
         learned = np.repeat(~np.array(self.held, bool), self.lens)
-        seen = np.bincount(ids[learned], minlength=len(order))
-        planes = lambda x: np.ascontiguousarray(x.astype(np.uint32)).view(np.uint8).reshape(-1, 4).T.tobytes()
+        seen = np.zeros(len(order), np.int64)
+        for lo in range(0, len(ids), _PART):
+            seen += np.bincount(ids[lo : lo + _PART][learned[lo : lo + _PART]], minlength=len(order))
+        planes = lambda x: np.ascontiguousarray(x.astype(np.uint32, copy=False)).view(np.uint8).reshape(-1, 4).T.tobytes()
         rows = pa.concat_arrays(self.rows)
-        return [
-            pa.array([self.n], pa.int64()), pa.array([len(order)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-            *(pa.array([x], pa.binary()) for x in (np.concatenate(self.scores).tobytes(), np.array(self.sizes, np.int64).tobytes(), np.array(self.held, bool).tobytes(), np.array(self.lens, np.int64).tobytes(), planes(ids), h[order].tobytes(), planes(seen))),
-        ]
+        data = (np.concatenate(self.scores).tobytes(), np.array(self.sizes, np.int64).tobytes(), np.array(self.held, bool).tobytes(), np.array(self.lens, np.int64).tobytes(), planes(ids.view(np.uint32)), h[order].tobytes(), planes(seen))
+        return [pa.array([self.n], pa.int64()), pa.array([len(order)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), *map(_one, data)]
+
+
+def _one(data: bytes) -> pa.Array:
+    """A column of one binary value, not copied."""
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, len(data)], np.int32)), pa.py_buffer(data)])
 
 
 _SHARD = ["shard", "n_words", "rows", "scores", "sizes", "held", "lens", "ids", "hashes", "seen"]
@@ -467,9 +527,18 @@ def _finished(n: int, v: int, learned: int, keep: int, names: list[str]):
                 parts = sorted((r["bin"], r["counts"]) for r in b.column(7)[i].as_py() or ())
                 counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c, np.int64) for _, c in parts)])
                 scores, sizes, lens, ids = np.frombuffer(scores), np.frombuffer(sizes, np.int64), np.frombuffer(lens, np.int64), _unplaned(ids)
-                doc = np.repeat(np.arange(len(lens)), lens)
-                known = np.bincount(doc, counts[ids] > 0, len(lens)).astype(np.int64) + (learned > 0)
-                base = np.bincount(doc, np.log10(counts + 1.0)[ids], len(lens)) + log10(learned + 1) - (lens + 1) * log10(n + v + 1)
+                often, logs = counts > 0, np.log10(counts + 1.0)
+                ends, lo, known, base = np.cumsum(lens), 0, [], []
+                while lo < len(lens):  # documents of about _PART words at a time
+                    begin = int(ends[lo] - lens[lo])
+                    hi = max(lo + 1, int(np.searchsorted(ends, begin + _PART, side="right")))
+                    own = ids[begin : ends[hi - 1]]
+                    doc = np.repeat(np.arange(hi - lo), lens[lo:hi])
+                    known.append(np.bincount(doc, often[own], hi - lo).astype(np.int64))
+                    base.append(np.bincount(doc, logs[own], hi - lo))
+                    lo = hi
+                known = np.concatenate(known) + (learned > 0)
+                base = np.concatenate(base) + log10(learned + 1) - (lens + 1) * log10(n + v + 1)
                 rows = b.column(1)[i].values
                 columns = [rows.field(k) for k in range(keep)]
                 columns += [pa.array(np.frombuffer(held, bool)), pa.array(lens + 1), pa.array(known), pa.array(np.full(len(lens), n, np.int64)), pa.array(base), pa.array(scores), pa.array(-scores / log10(2) / (sizes + 1))]

@@ -146,3 +146,52 @@ def test_memory_of_a_task(monkeypatch):
     out = []
     assert peak(lambda: out.extend(lm._sharded(shared, 1, lm.SHARD)(iter([batch])))) < 220  # 6 MB at once and a wider copy of the model before: 389
     assert sum(map(len, texts)) > 6 << 20 and sum(b.num_rows for b in out) == 1 and len(out[0]["scores"][0].as_py()) == 8 * len(texts)
+
+
+def sample(n, size=400):
+    rng = np.random.default_rng(2)
+    some = [bytes(rng.integers(97, 123, k, dtype=np.uint8)) for k in rng.integers(2, 9, 3000)]
+    return [b" ".join(some[i] for i in rng.integers(0, 3000, size)) for _ in range(n)]
+
+
+def test_memory_of_a_learned_block():
+    texts = sample(2800)
+    assert sum(map(len, texts)) > lm.BLOCK
+    learner = lm.Learner(lm.MOST_BITS)
+    assert peak(lambda: learner.block(texts)) < 150  # all places and the slots of all steps at once before: 239
+
+
+def test_parts_change_nothing(monkeypatch):
+    """Places are counted, predicted and added up a part at a time: to the last bit the same."""
+    texts = [b"", *sample(40, 60), b"x" * 3000, b"", b"the end"]
+
+    def run(part):
+        monkeypatch.setattr(lm, "_PART", part)
+        learner = lm.Learner(12)
+        learner.block(texts[:20])
+        learner.block(texts[20:])
+        votes = np.log((learner.counts[:, 1] + lm.PRIOR) / (learner.counts[:, 0] + lm.PRIOR)).astype(np.float16)
+        model, held = lm.Model(12, votes, learner.mixer.state.copy()), [i % 3 == 0 for i in range(len(texts))]
+        shard, scores = lm._Shard(0), model.score(texts)
+        shard.add([pa.array([{"c0": i} for i in range(len(texts))])], held, texts, scores)
+        row = shard.row()
+        counts = lm._unplaned(row[-1][0].as_py()).astype(np.int64)
+        batch = pa.RecordBatch.from_arrays([row[0], *row[2:8], pa.array([[{"bin": 0, "counts": counts.tobytes()}]])], names=[*"abcdefgh"])
+        out = list(lm._finished(9000, 3000, 30, 1, ["doc_id", *lm.NEW])(iter([batch])))
+        learned = Counter(w for t, h in zip(texts, held) if not h for w in lm.tokens(t))
+        assert out[0]["n_known"].to_pylist() == [1 + sum(learned[w] > 0 for w in lm.tokens(t)) for t in texts]
+        return learner.counts, learner.mixer.state, scores, *(np.array(c) for b in out for c in b.columns)
+
+    whole, parts = run(1 << 20), run(50)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+
+
+def test_one_key_after_another():
+    """Steps go by what the sorted keys share."""
+    keys = np.array([5 << 8 | 3, 5 << 8 | 131, 6 << 8, 6 << 8 | 1], np.uint64)
+    parted = lm._parted(keys)
+    assert parted.tolist() == [256, 128, 256, 1]
+    firsts = [[(first.tolist(), some.tolist(), bit.tolist()) for _, first, some, bit in lm._steps(keys, parted, j)] for j in (0, 1, 7)]
+    assert firsts[0] == [([0, 2], [5, 6], [False, True, False, False])]
+    assert firsts[1] == [([0, 1, 2], [10, 11, 12], [False, False, False, False])]
+    assert firsts[2] == [([0, 1, 2], [5 << 7 | 1, 5 << 7 | 65, 6 << 7], [True, True, False, True])]
