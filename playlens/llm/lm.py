@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from math import log10
 
 import numpy as np
@@ -178,6 +180,13 @@ class Mixer:
             self.all += np.bincount(at, share * n, len(self.all))
 
 
+def _let_go() -> None:
+    """Memory that is free goes back to the system, where the C library can do it; else a worker keeps it beside what its next task takes."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError, TypeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Learner:
     """One task's contexts and mixer. Each block of text is predicted from what came before it, then learned."""
 
@@ -221,6 +230,7 @@ class Learner:
 
 def _learned(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go()
         learner, held, size, most = None, [], 0, FIRST_BLOCK
         for b in batches:
             for t in b.column(0).to_pylist():
@@ -232,6 +242,8 @@ def _learned(bits: int):
                     held, size, most = [], 0, min(2 * most, BLOCK)
         if held:
             learner.block(held)
+            held = []
+        _let_go()
         for s, data in learner.parts() if learner else ():
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([data], pa.binary())], names=["s", "data"])
 
@@ -401,6 +413,7 @@ def _sharded(shared, keep: int, size: int):
     """Columns: those that stay, held out, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go()
         model, task, made = shared.value, TaskContext.get().partitionId(), 0
         now = _Shard(task << 32)
         rows, held, texts, n = [], [], [], 0
@@ -417,6 +430,7 @@ def _sharded(shared, keep: int, size: int):
                         yield pa.RecordBatch.from_arrays(now.row(), names=_SHARD)
                         made += 1
                         now = _Shard((task << 32) + made)
+                        _let_go()
             if lo < len(own):
                 rows.append(own.slice(lo))
         if texts:
@@ -543,5 +557,6 @@ def _finished(n: int, v: int, learned: int, keep: int, names: list[str]):
                 columns = [rows.field(k) for k in range(keep)]
                 columns += [pa.array(np.frombuffer(held, bool)), pa.array(lens + 1), pa.array(known), pa.array(np.full(len(lens), n, np.int64)), pa.array(base), pa.array(scores), pa.array(-scores / log10(2) / (sizes + 1))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        _let_go()
 
     return run

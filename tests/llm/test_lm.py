@@ -195,3 +195,14 @@ def test_one_key_after_another():
     assert firsts[0] == [([0, 2], [5, 6], [False, True, False, False])]
     assert firsts[1] == [([0, 1, 2], [10, 11, 12], [False, False, False, False])]
     assert firsts[2] == [([0, 1, 2], [5 << 7 | 1, 5 << 7 | 65, 6 << 7], [True, True, False, True])]
+
+
+def test_a_task_gives_free_memory_back(monkeypatch):
+    """Before it begins, and before it hands out what it gathered; also where the C library has no such call."""
+    calls = []
+    monkeypatch.setattr(lm.ctypes, "CDLL", lambda name: SimpleNamespace(malloc_trim=calls.append))
+    batch = pa.RecordBatch.from_arrays([pa.array(["some text", None])], names=["t"])
+    some = [b.to_pydict() for b in lm._learned(lm.LEAST_BITS)(iter([batch]))]
+    assert calls == [0, 0]
+    monkeypatch.setattr(lm.ctypes, "CDLL", lambda name: SimpleNamespace())
+    assert some == [b.to_pydict() for b in lm._learned(lm.LEAST_BITS)(iter([batch]))]
